@@ -11,7 +11,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.functions import as_money, ratio, rounded
+from shopgrain.functions import as_money, ratio
 
 PERIOD = "period"
 
@@ -180,7 +180,7 @@ def _derived(model, metric, rows, grouping, keys, grain, in_range) -> DataFrame:
         renamed = other.select(*[F.col(k).alias(f"__o_{k}") for k in keys], name)
         match = [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in keys] or F.lit(True)
         result = result.join(renamed, match, "left").drop(*[f"__o_{k}" for k in keys])
-    return result.select(*keys, rounded(F.expr(metric.expr), 6).alias(metric.name))
+    return result.select(*keys, F.expr(metric.expr).alias(metric.name))
 
 
 # Names, expressions and filters of the order model.

@@ -40,12 +40,17 @@ KEYS = {
 }
 
 
-def struct(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def struct(columns: str) -> StructType:
+    """'name type, name type' as a schema; needs no running session."""
+    schema = StructType()
+    for column in columns.split(","):
+        name, type_name = column.split()
+        schema.add(name, "integer" if type_name == "int" else type_name)
+    return schema
 
 
-def names(ddl: str) -> list[str]:
-    return struct(ddl).fieldNames()
+def names(columns: str) -> list[str]:
+    return struct(columns).fieldNames()
 
 
 def all_strings(columns: list[str]) -> StructType:
