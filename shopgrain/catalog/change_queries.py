@@ -10,13 +10,14 @@ from shopgrain.catalog.registry import query
 from shopgrain.operators import changes
 from shopgrain.operators.changes import cdc_tag, sample_by_key
 from shopgrain.plans import silver
+from shopgrain.plans.daily import snapshot
+from shopgrain.plans.declared import SNAPSHOT_CHECKS
 from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
 
 CDC_TS = "2001-08-03 00:00:00"
 CDC_SQL_TS = f"TIMESTAMP '{CDC_TS}'"
 UPDATED = "substr(md5(order_id), 1, 8) < '028f5c28'"
 INSERTED = "substr(md5('n' || order_id), 1, 8) < '010624dd'"
-CHECK_COLS = ["segment", "city", "state", "is_active"]
 
 
 @query(
@@ -141,14 +142,12 @@ def merge_delete_unmatched(t: Retail):
     return changes.upsert(target, source, ["product_id"], delete_unmatched=True)
 
 
-SNAPSHOT = ["customer_id", "full_name", "email", "age", "age_band", "city", "state", "segment",
-            "join_date", "is_active", "_updated_at"]
 MOVED = "substr(md5('m' || customer_id), 1, 8) < '1999999a'"
 UNKNOWN = "substr(md5('u' || customer_id), 1, 8) < '0ccccccc'"
 
 
 def snapshot_rows(t: Retail) -> DataFrame:
-    return t.silver_customers.drop("email").withColumnRenamed("email_masked", "email").select(*SNAPSHOT)
+    return snapshot(t.silver_customers)
 
 
 def later_snapshot(t: Retail) -> DataFrame:
@@ -194,14 +193,14 @@ def _history_sql(first: str) -> str:
 @query("scd2_snapshot", _history_sql("SELECT * FROM snap WHERE CAST(customer_id AS BIGINT) % 2 = 0"))
 def scd2_snapshot(t: Retail):
     first = snapshot_rows(t).where("CAST(customer_id AS BIGINT) % 2 = 0")
-    history = changes.scd2(None, first, "customer_id", CHECK_COLS)
-    return changes.scd2(history, later_snapshot(t), "customer_id", CHECK_COLS)
+    history = changes.scd2(None, first, "customer_id", SNAPSHOT_CHECKS)
+    return changes.scd2(history, later_snapshot(t), "customer_id", SNAPSHOT_CHECKS)
 
 
 @query("scd_customers", _history_sql("SELECT * FROM snap"))
 def scd_customers(t: Retail):
-    history = changes.scd2(None, snapshot_rows(t), "customer_id", CHECK_COLS)
-    return changes.scd2(history, later_snapshot(t), "customer_id", CHECK_COLS)
+    history = changes.scd2(None, snapshot_rows(t), "customer_id", SNAPSHOT_CHECKS)
+    return changes.scd2(history, later_snapshot(t), "customer_id", SNAPSHOT_CHECKS)
 
 
 GONE = "substr(md5('g' || product_id), 1, 8) < '0ccccccc'"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.catalog.reference_sql import (
@@ -16,8 +19,10 @@ from shopgrain.catalog.reference_sql import (
 )
 from shopgrain.catalog.registry import query
 from shopgrain.operators.quality import kept_rows
-from shopgrain.plans import gold, silver, star
-from shopgrain.sources.conform import Retail
+from shopgrain.plans import daily, gold, silver, star
+from shopgrain.plans.declared import SILVER_TESTS
+from shopgrain.session import scratch_path
+from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
 
 
 def latest_by(key: str, table: str) -> str:
@@ -190,3 +195,48 @@ def gold_inventory_health(t: Retail):
 )
 def pii_masked_customers(t: Retail):
     return gold.masked_customers(t.silver_customers)
+
+
+COUNTED = (
+    "silver_orders",
+    "silver_customers",
+    "silver_products",
+    "silver_inventory",
+    "dim_customer",
+    "dim_product",
+    "fact_orders",
+    "gold_daily_sales",
+    "gold_product_performance",
+    "gold_customer_rfm",
+    "gold_inventory_health",
+)
+N_TESTS = sum(len(tests) for tests in SILVER_TESTS.values())
+
+
+@query(
+    "daily_refresh",
+    with_layers(
+        " UNION ALL ".join(f"SELECT '{c}' AS table_name, COUNT(*) AS row_count FROM {c}" for c in COUNTED)
+        + f""" UNION ALL SELECT 'scd_customers', COUNT(*) FROM silver_customers
+        UNION ALL SELECT 'quality_report', CAST({N_TESTS} AS BIGINT)
+        UNION ALL SELECT 'gold_forecast', CAST(90 AS BIGINT)
+        UNION ALL SELECT 'dim_date', date_diff('day', MIN(order_date), MAX(order_date)) + 1
+          FROM silver_orders""",
+        *COUNTED,
+    ),
+)
+def daily_refresh(t: Retail):
+    """Two runs of the daily job: the first load, then an incremental run over everything."""
+    feeds = ("orders", "customers", "products", "inventory")
+    first_load = {f: t.bronze(f).where(F.col("_ingested_at") == ntz(FIRST_LOAD_TS)) for f in feeds}
+    first, second = scratch_path(t.spark, "run1"), scratch_path(t.spark, "run2")
+    daily.refresh(t.spark, first_load, first, t.as_of, t.batch_ts)
+    everything = {f: t.bronze(f) for f in feeds}
+    tables = daily.refresh(t.spark, everything, second, t.as_of, t.batch_ts, previous=first)
+    counts = [
+        t.spark.read.parquet(f"{second}/{name}")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count")
+        for name in tables
+    ]
+    return reduce(DataFrame.unionByName, counts)

@@ -12,6 +12,7 @@ from shopgrain.catalog.registry import query
 from shopgrain.operators import quality
 from shopgrain.operators.quality import Rule, TableTest
 from shopgrain.plans import gold
+from shopgrain.plans.declared import ORDER_CONTRACT, SILVER_TESTS, SOURCE_TESTS
 from shopgrain.session import materialize
 from shopgrain.sources import schemas
 from shopgrain.sources.conform import Retail
@@ -170,44 +171,6 @@ def test_rfm_complete(t: Retail):
     return buyers.join(rfm.select("customer_id"), "customer_id", "left_anti")
 
 
-# The tests and the schema contract declared for the tables.
-SOURCE_TESTS = {
-    "bronze_orders": (
-        TableTest("not_null", "order_id"),
-        TableTest("unique", "order_id"),
-        TableTest("not_null", "quantity"),
-        TableTest("expression", "quantity", "> 0"),
-        TableTest("not_null", "net_amount"),
-        TableTest("expression", "net_amount", "> 0"),
-    ),
-    "bronze_customers": (TableTest("not_null", "customer_id"), TableTest("unique", "customer_id")),
-    "bronze_products": (TableTest("not_null", "product_id"), TableTest("unique", "product_id")),
-    "bronze_inventory": (TableTest("not_null", "inventory_id"), TableTest("unique", "inventory_id")),
-}
-SILVER_TESTS = {
-    "silver_orders": (
-        *SOURCE_TESTS["bronze_orders"],
-        TableTest("expression", "discount_pct", "BETWEEN 0 AND 1"),
-        TableTest("not_null", "order_date"),
-    ),
-    "silver_customers": (
-        *SOURCE_TESTS["bronze_customers"],
-        TableTest("range", "age", (18, 100)),
-    ),
-    "silver_products": (
-        *SOURCE_TESTS["bronze_products"],
-        TableTest("expression", "cost_price", "> 0"),
-    ),
-    "silver_inventory": (
-        *SOURCE_TESTS["bronze_inventory"],
-        TableTest("expression", "quantity_on_hand", ">= 0"),
-    ),
-}
-ORDER_CONTRACT = schemas.struct(
-    "order_id string, quantity int, net_amount double, discount_pct double, order_date date"
-)
-
-
 def _test_sql(table: str, test: TableTest) -> str:
     name = test.name.replace("'", "''")
     if test.kind == "unique":
@@ -257,5 +220,5 @@ def run_silver_tests(t: Retail):
     ),
 )
 def assert_schema_contract(t: Retail):
-    checked = quality.assert_contract(t.silver_orders, ORDER_CONTRACT)
-    return checked.select(*ORDER_CONTRACT.fieldNames())
+    contract = schemas.struct(ORDER_CONTRACT)
+    return quality.assert_contract(t.silver_orders, contract).select(*contract.fieldNames())

@@ -36,15 +36,10 @@ def new_rows(
     """
     if target is None:
         return source
-    mark = "__high_water"
-    high_water = target.agg(F.max(ts_col).alias(mark))
-    is_new = F.col(ts_col) >= F.col(mark) if inclusive else F.col(ts_col) > F.col(mark)
-    # The right side is a single aggregated row.
-    return (
-        source.join(F.broadcast(high_water))
-        .where(F.col(mark).isNull() | is_new)
-        .drop(mark)
-    )
+    lowest = F.lit("0001-01-01").cast(target.schema[ts_col].dataType)
+    # A scalar subquery: known before the scan starts, so files can be skipped by it.
+    mark = target.select(F.coalesce(F.max(ts_col), lowest)).scalar()
+    return source.where(F.col(ts_col) >= mark if inclusive else F.col(ts_col) > mark)
 
 
 def upsert(

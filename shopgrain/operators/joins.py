@@ -6,22 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
+MIN_SAMPLED = 100
+
+
+def scan_splits(df: DataFrame) -> int:
+    """Input splits of a table scan, known from planning alone; splits are of bounded size."""
+    return df.rdd.getNumPartitions()
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table read as fewer splits than half the cores out by ``key``; larger ones pass as is.
+
+    A small file is one split, and without a shuffle all work up to the next one is one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if scan_splits(df) < cores / 2 else df
 
 
 def hot_keys(
-    df: DataFrame, key: str, share: float = 0.005, min_rows: int = 5_000_000, sample: float = 0.01
+    df: DataFrame, key: str, share: float = 0.005, min_splits: int = 64, sample: float = 0.01
 ) -> list:
     """Values of ``key`` holding more than ``share`` of the rows: at most ``1 / share`` of them.
 
     Found on a sample of the one column, and only for tables large enough to matter. The list
     steers how the work is spread, never the result, so a missed or extra key is harmless.
     """
-    rows = df.count()
-    if rows < min_rows:
+    if scan_splits(df) < min_splits:
         return []
     counts = df.select(key).sample(sample, seed=7).groupBy(key).count()
     top = counts.orderBy(F.desc("count")).limit(int(1 / share)).collect()
-    return [r[key] for r in top if r["count"] > share * sample * rows]
+    if not top or top[0]["count"] < MIN_SAMPLED:
+        return []
+    sampled = counts.agg(F.sum("count")).first()[0]
+    return [r[key] for r in top if r["count"] > share * sampled]
 
 
 def lookup_join(

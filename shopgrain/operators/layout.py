@@ -50,22 +50,23 @@ def morton(positions: list[Column], bits: int) -> Column:
 
 
 def zorder(
-    df: DataFrame, dst: str, columns: list[str], bits: int = 8, files: int | None = None
+    df: DataFrame, dst: str, columns: list[str], bits: int = 6, files: int | None = None
 ) -> DataFrame:
     """Write ``df`` clustered on several columns at once, so filters on any of them skip files.
 
     Each column is cut into up to 2^bits similar shares; the interleaved share numbers order the
     rows. A row hash after them lets rows that are equal in all columns spread over files.
     """
-    positions = [split_position(df, c, 2**bits) for c in columns]
     spark = df.sparkSession
     parts = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    z = morton(positions, bits)
+    # Positions are columns of their own, so each search runs once per row, not once per bit.
+    shares = {f"__p{i}": split_position(df, c, 2**bits) for i, c in enumerate(columns)}
     (
-        df.withColumn("__z", z)
+        df.withColumns(shares)
+        .withColumn("__z", morton([F.col(p) for p in shares], bits))
         .repartitionByRange(parts, "__z", F.xxhash64(*df.columns))
         .sortWithinPartitions("__z")
-        .drop("__z")
+        .drop("__z", *shares)
         .write.parquet(dst)
     )
     return spark.read.parquet(dst)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from shopgrain.functions import as_money, ratio
 
 PERIOD = "period"
+REPORTED = "__reported"
 
 
 @dataclass(frozen=True)
@@ -46,13 +46,13 @@ class Input:
 
 @dataclass(frozen=True)
 class Metric:
-    """``simple``: one input; ``ratio``: two; ``derived``: ``expr`` over the input aliases."""
+    """``simple``: one input; ``ratio``: two; ``derived``: ``compute`` over the inputs by alias."""
 
     name: str
     kind: Literal["simple", "ratio", "derived"]
     inputs: tuple[Input, ...]
     label: str = ""
-    expr: str | None = None
+    compute: Callable[[dict[str, Column]], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -90,11 +90,10 @@ def _plain(model: MetricModel, item: Input) -> Column | None:
     if model.is_measure(item.name):
         return model.measure(item.name).aggregate(item.where)
     metric = model.metric(item.name)
-    inputs = [
-        _plain(model, Input(i.name, where=_both(i.where, item.where), offset_months=i.offset_months))
-        for i in metric.inputs
-    ]
-    if metric.kind == "derived" or any(c is None for c in inputs):
+    if metric.kind == "derived":
+        return None
+    inputs = [_plain(model, Input(i.name, where=_both(i.where, item.where))) for i in metric.inputs]
+    if any(c is None for c in inputs):
         return None
     return inputs[0] if metric.kind == "simple" else ratio(inputs[0], inputs[1])
 
@@ -111,76 +110,95 @@ def query_metrics(
 ) -> DataFrame:
     """Metrics per (period, dimensions); ``start`` and ``end`` bound the reported days, end excluded.
 
-    All metrics without a time offset share one pass over the fact. A derived metric reads the
-    small per-period results and meets its earlier month by an equi-join, so a missing month
+    All metrics share one pass over the fact, whatever their filters and time offsets. An input
+    of an earlier month is aggregated over the days moved back by its offset, and the small
+    per-period result is then moved forward to the period it is compared with: a missing month
     gives null rather than the month before it.
     """
     for name in group_by:
         if name not in model.dimensions and name not in model.entities:
             raise KeyError(f"unknown dimension {name!r}")
+    wanted = [model.metric(m) for m in metrics]
+    derived = [m for m in wanted if m.kind == "derived"]
+    offsets = sorted({0} | {i.offset_months for m in derived for i in m.inputs})
+    if offsets != [0] and not grain:
+        raise ValueError("comparing periods needs a time grain")
+
     keys = [PERIOD, *group_by] if grain else list(group_by)
+    day = model.time_dimension
     rows = fact.where(where) if where else fact
-    day = F.col(model.time_dimension)
+    in_range = {o: _day_range(day, start, end, o) for o in offsets}
+    if all(in_range.values()):
+        rows = rows.where(" OR ".join(f"({r})" for r in in_range.values()))
+    grouping = [F.expr(model.entities.get(g, g)).alias(g) for g in group_by]
     if grain:
-        rows = rows.withColumn(PERIOD, F.to_date(F.date_trunc(grain, day)))
-    dimension = {g: F.expr(model.entities.get(g, g)).alias(g) for g in group_by}
-    grouping = [F.col(PERIOD)] if grain else []
-    grouping += dimension.values()
-
-    def in_range(df: DataFrame, earlier_months: int = 0) -> DataFrame:
-        shift = lambda d: F.add_months(F.lit(d), -earlier_months)
-        if start is not None:
-            df = df.where(day >= shift(start))
-        if end is not None:
-            df = df.where(day < shift(end))
-        return df
+        grouping.insert(0, F.to_date(F.date_trunc(grain, F.col(day))).alias(PERIOD))
 
-    wanted = [model.metric(m) for m in metrics]
-    plain = {m.name: _plain(model, Input(m.name)) for m in wanted if m.kind != "derived"}
-    parts = []
-    if plain:
-        parts.append(in_range(rows).groupBy(*grouping).agg(*[c.alias(n) for n, c in plain.items()]))
-    for metric in wanted:
-        if metric.kind == "derived":
-            parts.append(_derived(model, metric, rows, grouping, keys, grain, in_range))
-
-    def combine(a: DataFrame, b: DataFrame) -> DataFrame:
-        renamed = b.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-        match = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys] or F.lit(True)
-        names = [c for c in (*a.columns, *b.columns) if c not in keys]
-        return a.join(renamed, match, "full").select(
-            *[F.coalesce(F.col(k), F.col(f"__r_{k}")).alias(k) for k in keys], *names
-        )
+    columns: dict[int, dict[str, Column]] = {o: {} for o in offsets}
 
-    result = reduce(combine, parts)
-    return result.select(*keys, *metrics)
-
-
-def _derived(model, metric, rows, grouping, keys, grain, in_range) -> DataFrame:
-    if any(i.offset_months for i in metric.inputs) and not grain:
-        raise ValueError(f"{metric.name} compares periods and needs a time grain")
-
-    def per_period(item: Input) -> DataFrame:
-        column = _plain(model, item)
+    def add(name: str, item: Input) -> None:
+        # One offset: the row filter above has done the day range already.
+        days = in_range[item.offset_months] if len(offsets) > 1 else None
+        column = _plain(model, Input(item.name, where=_both(item.where, days)))
         if column is None:
-            raise ValueError(f"{metric.name}: {item.name} is itself derived")
-        return (
-            in_range(rows, item.offset_months)
-            .groupBy(*grouping)
-            .agg(column.alias(item.alias or item.name))
+            raise ValueError(f"{item.name} is itself derived")
+        columns[item.offset_months][name] = column
+
+    for m in wanted:
+        if m.kind != "derived":
+            add(m.name, Input(m.name))
+    for m in derived:
+        for i in m.inputs:
+            add(_input_name(m, i), i)
+    if len(offsets) > 1 and in_range[0]:
+        columns[0][REPORTED] = F.count_if(F.expr(in_range[0])) > 0
+    elif len(offsets) > 1:
+        columns[0][REPORTED] = F.lit(True)
+
+    flat = {name: c for per_offset in columns.values() for name, c in per_offset.items()}
+    totals = rows.groupBy(*grouping).agg(*[c.alias(name) for name, c in flat.items()])
+    if len(offsets) > 1:
+        totals = _align(totals, keys, {o: list(c) for o, c in columns.items()})
+    answers = {
+        m.name: m.compute({i.alias or i.name: F.col(_input_name(m, i)) for i in m.inputs})
+        if m.kind == "derived"
+        else F.col(m.name)
+        for m in wanted
+    }
+    return totals.select(*keys, *[c.alias(name) for name, c in answers.items()])
+
+
+def _input_name(metric: Metric, item: Input) -> str:
+    return f"__{metric.name}__{item.alias or item.name}"
+
+
+def _day_range(day: str, start: dt.date | None, end: dt.date | None, months_back: int) -> str:
+    def bound(d: dt.date) -> str:
+        return f"add_months(DATE '{d.isoformat()}', {-months_back})"
+
+    parts = [f"{day} >= {bound(start)}"] if start else []
+    parts += [f"{day} < {bound(end)}"] if end else []
+    return " AND ".join(parts)
+
+
+def _align(totals: DataFrame, keys: list[str], columns: dict[int, list[str]]) -> DataFrame:
+    """Bring the columns of each offset to the period they belong to; one row per reported period."""
+    names = [name for per_offset in columns.values() for name in per_offset]
+    others = [k for k in keys if k != PERIOD]
+    moved = [
+        F.struct(
+            F.add_months(PERIOD, offset).alias(PERIOD),
+            *[
+                (F.col(n) if n in mine else F.lit(None).cast(totals.schema[n].dataType)).alias(n)
+                for n in names
+            ],
         )
-
-    base, *others = metric.inputs
-    result = per_period(base)
-    for item in others:
-        name = item.alias or item.name
-        other = per_period(item)
-        if item.offset_months:
-            other = other.withColumn(PERIOD, F.add_months(PERIOD, item.offset_months))
-        renamed = other.select(*[F.col(k).alias(f"__o_{k}") for k in keys], name)
-        match = [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in keys] or F.lit(True)
-        result = result.join(renamed, match, "left").drop(*[f"__o_{k}" for k in keys])
-    return result.select(*keys, F.expr(metric.expr).alias(metric.name))
+        for offset, mine in columns.items()
+    ]
+    spread = totals.select(*others, F.inline(F.array(*moved)))
+    # Each column has one non-null row per key, so max only picks it.
+    picked = spread.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
+    return picked.where(REPORTED).drop(REPORTED)
 
 
 # Names, expressions and filters of the order model.
@@ -218,7 +236,7 @@ ORDER_MODEL = MetricModel(
             "derived",
             (Input("revenue"), Input("revenue", alias="lag_revenue", offset_months=1)),
             label="Revenue Month-over-Month Growth %",
-            expr="try_divide(revenue - lag_revenue, lag_revenue) * 100",
+            compute=lambda m: ratio(m["revenue"] - m["lag_revenue"], m["lag_revenue"]) * 100,
         ),
         Metric(
             "return_rate",

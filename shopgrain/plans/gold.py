@@ -6,69 +6,84 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.functions import as_money, ratio, rounded
-from shopgrain.functions.columns import mean_money
 from shopgrain.functions.labels import rfm_segment, stock_status
 from shopgrain.operators.changes import latest_per_key
 from shopgrain.operators.joins import lookup_join
 from shopgrain.operators.ranks import ROWS_PER_BUCKET, ntile_distributed, rank_distributed
 from shopgrain.session import materialize
 
-SALES_KEYS = ["order_date", "region", "channel", "order_year", "order_month", "order_month_key"]
 PRODUCT_KEYS = ["product_id", "product_name", "category", "subcategory", "supplier_id"]
 
 
-def _money_total(c: str) -> Column:
-    return F.round(F.sum(as_money(c)), 2).cast("double")
+def _orders(unique: bool) -> Column:
+    """Order count; one row per order makes the costly distinct count unnecessary."""
+    return F.count("order_id") if unique else F.count_distinct("order_id")
 
 
-def _return_rate() -> Column:
-    return rounded(ratio(F.sum("is_returned") * 100, F.count(F.lit(1))), 2)
+def _sums() -> list[Column]:
+    """The sums and counts all sales measures derive from, each carried through the shuffle once."""
+    return [
+        F.count(F.lit(1)).alias("__rows"),
+        F.sum("quantity").alias("total_units_sold"),
+        F.sum(as_money("net_amount")).alias("__net"),
+        F.count("net_amount").alias("__nets"),
+        F.sum(as_money("gross_profit")).alias("__profit"),
+        F.sum(as_money("gross_margin_pct")).alias("__margin"),
+        F.count("gross_margin_pct").alias("__margins"),
+        F.sum("is_returned").alias("__returned"),
+    ]
 
 
-def _orders(unique: bool) -> Column:
-    """Order count; one row per order makes the costly distinct count unnecessary."""
-    return F.count("order_id") if unique else F.count_distinct("order_id")
+def _money_total(total: str) -> Column:
+    return F.round(total, 2).cast("double")
+
+
+def _measures() -> dict[str, Column]:
+    return {
+        "total_revenue": _money_total("__net"),
+        "total_gross_profit": _money_total("__profit"),
+        "avg_margin_pct": rounded(ratio("__margin", "__margins") * 100, 2),
+        "avg_order_value": rounded(ratio("__net", "__nets"), 2),
+        "return_rate_pct": rounded(ratio(F.col("__returned") * 100, "__rows"), 2),
+    }
 
 
 def daily_sales(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Sales per (day, region, channel). The calendar keys follow from the day and are added last."""
-    totals = fact.groupBy("order_date", "region", "channel").agg(
-        _orders(orders_unique).alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.sum("quantity").alias("total_units_sold"),
-        _money_total("gross_amount").alias("total_gross_revenue"),
-        _money_total("net_amount").alias("total_revenue"),
-        _money_total("gross_profit").alias("total_gross_profit"),
-        rounded(mean_money("gross_margin_pct") * 100, 2).alias("avg_margin_pct"),
-        rounded(mean_money("net_amount"), 2).alias("avg_order_value"),
-        F.sum("is_returned").alias("returned_orders"),
-        F.sum("is_cancelled").alias("cancelled_orders"),
-        _return_rate().alias("return_rate_pct"),
-    )
-    return totals.select(
-        "order_date",
-        "region",
-        "channel",
-        F.year("order_date").alias("order_year"),
-        F.month("order_date").alias("order_month"),
-        F.date_format("order_date", "yyyy-MM").alias("order_month_key"),
-        *totals.columns[3:],
+    measures = _measures()
+    return (
+        fact.groupBy("order_date", "region", "channel")
+        .agg(
+            *_sums(),
+            F.sum(as_money("gross_amount")).alias("__gross"),
+            F.sum("is_cancelled").alias("cancelled_orders"),
+            _orders(orders_unique).alias("total_orders"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+            F.count_distinct("product_id").alias("unique_products"),
+        )
+        .select(
+            "order_date",
+            "region",
+            "channel",
+            F.year("order_date").alias("order_year"),
+            F.month("order_date").alias("order_month"),
+            F.date_format("order_date", "yyyy-MM").alias("order_month_key"),
+            "total_orders",
+            "unique_customers",
+            "unique_products",
+            "total_units_sold",
+            _money_total("__gross").alias("total_gross_revenue"),
+            *[measures[m].alias(m) for m in list(measures)[:4]],
+            F.col("__returned").alias("returned_orders"),
+            "cancelled_orders",
+            measures["return_rate_pct"].alias("return_rate_pct"),
+        )
     )
 
 
 def product_totals(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """One row per product id, before any product attribute is looked up."""
-    return fact.groupBy("product_id").agg(
-        _orders(orders_unique).alias("total_orders"),
-        F.sum("quantity").alias("total_units_sold"),
-        F.sum(as_money("net_amount")).alias("__revenue"),
-        _money_total("gross_profit").alias("total_gross_profit"),
-        rounded(mean_money("gross_margin_pct") * 100, 2).alias("avg_margin_pct"),
-        rounded(mean_money("net_amount"), 2).alias("avg_order_value"),
-        F.sum("is_returned").alias("total_returns"),
-        _return_rate().alias("return_rate_pct"),
-    )
+    return fact.groupBy("product_id").agg(*_sums(), _orders(orders_unique).alias("total_orders"))
 
 
 def product_performance(
@@ -82,20 +97,18 @@ def product_performance(
     ranked = rank_distributed(
         materialize(totals, "product_totals"),
         ["category"],
-        -F.col("__revenue"),
+        -F.col("__net"),
         "revenue_rank_in_category",
         rows_per_bucket,
     )
+    measures = _measures()
     return ranked.select(
         *PRODUCT_KEYS,
         "total_orders",
         "total_units_sold",
-        F.round("__revenue", 2).cast("double").alias("total_revenue"),
-        "total_gross_profit",
-        "avg_margin_pct",
-        "avg_order_value",
-        "total_returns",
-        "return_rate_pct",
+        *[measures[m].alias(m) for m in list(measures)[:4]],
+        F.col("__returned").alias("total_returns"),
+        measures["return_rate_pct"].alias("return_rate_pct"),
         F.col("revenue_rank_in_category").cast("int").alias("revenue_rank_in_category"),
     )
 

@@ -36,9 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="shopgrain-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shopgrain-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.operators.joins import hot_keys, lookup_join
+from shopgrain.operators.joins import hot_keys, lookup_join, spread
 from shopgrain.plans import silver, star
 
 AS_OF = dt.date(2001, 8, 2)
@@ -50,9 +50,16 @@ class Retail:
         self.folder = folder
         self.batch_ts = ntz(BATCH_TS)
         self.as_of = F.lit(AS_OF)
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return spread(self.table("lineitem"), "l_orderkey")
 
     @cached_property
     def hot_orders(self) -> list:
@@ -81,7 +88,7 @@ class Retail:
         orders = lookup_join(
             self.table("orders"), customers, "o_custkey", "left", self.hot_customers
         ).withColumnRenamed("o_orderkey", "l_orderkey")
-        lines = lookup_join(self.table("lineitem"), orders, "l_orderkey", "inner", self.hot_orders)
+        lines = lookup_join(self.lines, orders, "l_orderkey", "left", self.hot_orders)
         discount = F.col("l_discount").cast("decimal(4,2)") * 3
         return lines.select(
             _line_id().alias("order_id"),
@@ -154,7 +161,7 @@ class Retail:
     @cached_property
     def bronze_inventory(self) -> DataFrame:
         on_hand = F.col("l_quantity").cast("int") - 1
-        return self.table("lineitem").select(
+        return self.lines.select(
             _line_id().alias("inventory_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_suppkey").cast("string").alias("warehouse_id"),

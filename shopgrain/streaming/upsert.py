@@ -17,10 +17,14 @@ from shopgrain.streaming.ingest import AVAILABLE_NOW
 BUCKET, VERSION = "bucket", "version"
 
 
-def _finished_versions(spark: SparkSession, table_dir: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_dir}/{VERSION}=*/_SUCCESS")
+def _list(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
+    return [str(f.getPath()) for f in found or []]
+
+
+def _part(path: str, name: str) -> int:
+    return int(path.split(f"/{name}=")[1].split("/")[0])
 
 
 def read_current(
@@ -30,16 +34,16 @@ def read_current(
     buckets: list[int] | None = None,
 ) -> DataFrame | None:
     """The table's current image (optionally only some buckets, or as of before a version)."""
-    versions = [v for v in _finished_versions(spark, table_dir) if before is None or v < before]
-    if not versions:
+    finished = {_part(p, VERSION) for p in _list(spark, f"{table_dir}/{VERSION}=*/_SUCCESS")}
+    newest: dict[int, tuple[int, str]] = {}
+    for path in _list(spark, f"{table_dir}/{VERSION}=*/{BUCKET}=*"):
+        version, bucket = _part(path, VERSION), _part(path, BUCKET)
+        if version in finished and (before is None or version < before):
+            newest[bucket] = max(newest.get(bucket, (-1, "")), (version, path))
+    paths = [p for b, (_, p) in sorted(newest.items()) if buckets is None or b in buckets]
+    if not paths:
         return None
-    paths = [f"{table_dir}/{VERSION}={v}" for v in versions]
-    rows = spark.read.option("basePath", table_dir).parquet(*paths)
-    if buckets is not None:
-        rows = rows.where(F.col(BUCKET).isin(buckets))
-    # One row per bucket: bounded by the number of buckets of the table.
-    newest = rows.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))
-    return rows.join(F.broadcast(newest), [BUCKET, VERSION]).drop(BUCKET, VERSION)
+    return spark.read.option("basePath", table_dir).parquet(*paths).drop(BUCKET, VERSION)
 
 
 def write_version(
