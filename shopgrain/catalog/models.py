@@ -22,7 +22,7 @@ from shopgrain.operators.quality import kept_rows
 from shopgrain.plans import daily, gold, silver, star
 from shopgrain.plans.declared import SILVER_TESTS
 from shopgrain.session import scratch_path
-from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
+from shopgrain.sources.conform import Retail
 
 
 def latest_by(key: str, table: str) -> str:
@@ -226,15 +226,12 @@ N_TESTS = sum(len(tests) for tests in SILVER_TESTS.values())
     ),
 )
 def daily_refresh(t: Retail):
-    """Two runs of the daily job: the first load, then an incremental run over everything."""
-    feeds = ("orders", "customers", "products", "inventory")
-    first_load = {f: t.bronze(f).where(F.col("_ingested_at") == ntz(FIRST_LOAD_TS)) for f in feeds}
-    first, second = scratch_path(t.spark, "run1"), scratch_path(t.spark, "run2")
-    daily.refresh(t.spark, first_load, first, t.as_of, t.batch_ts)
-    everything = {f: t.bronze(f) for f in feeds}
-    tables = daily.refresh(t.spark, everything, second, t.as_of, t.batch_ts, previous=first)
+    """The daily job from empty: every table it writes, with its row count."""
+    bronze = {f: t.bronze(f) for f in ("orders", "customers", "products", "inventory")}
+    root = scratch_path(t.spark, "daily")
+    tables = daily.refresh(t.spark, bronze, root, t.as_of, t.batch_ts)
     counts = [
-        t.spark.read.parquet(f"{second}/{name}")
+        t.spark.read.parquet(f"{root}/{name}")
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(name).alias("table_name"), "row_count")
         for name in tables
