@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from shopgrain.catalog.reference_sql import total, with_layers
 from shopgrain.catalog.registry import query
-from shopgrain.functions import as_money
+from shopgrain.functions import money_sum
 from shopgrain.operators import layout
-from shopgrain.session import scratch_path
+from shopgrain.session import delete_path, scratch_path
 from shopgrain.sources.conform import Retail
 
 
@@ -24,9 +24,10 @@ def compact_files(t: Retail):
     lines.repartition(4 * max(2, lines.rdd.getNumPartitions())).write.parquet(small)
     compacted = layout.compact(t.spark, small, large)
     before, after = (layout.file_sizes(t.spark, p).count() for p in (small, large))
+    delete_path(t.spark, small)
     return compacted.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.sum(as_money("l_extendedprice")), 2).cast("double").alias("price"),
+        F.round(money_sum("l_extendedprice"), 2).cast("double").alias("price"),
         F.lit(after < before).alias("fewer_files"),
     )
 
@@ -50,9 +51,10 @@ def zorder_layout(t: Retail):
         scratch_path(t.spark, "clustered"),
         ["order_date", "region", "product_id"],
     )
+    delete_path(t.spark, staged)
     return clustered.groupBy("region", "order_year").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.sum(as_money("net_amount")), 2).cast("double").alias("revenue"),
+        F.round(money_sum("net_amount"), 2).cast("double").alias("revenue"),
     )
 
 

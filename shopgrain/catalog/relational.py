@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.catalog.reference_sql import AS_OF, layer, mean, money, ratio, rnd, total, with_layers
 from shopgrain.catalog.registry import query
-from shopgrain.functions import as_money, email_mask, ratio as safe_ratio, rounded, surrogate_key
+from shopgrain.functions import money_sum, email_mask, ratio as safe_ratio, rounded, surrogate_key
 from shopgrain.functions.columns import mean_money
 from shopgrain.functions.labels import (
     age_band,
@@ -364,7 +364,7 @@ def join_left_star(t: Retail):
 def join_inner_dim(t: Retail):
     # Totals per product first, so the join meets one row per product and no product is hot.
     per_product = t.silver_orders.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(as_money("net_amount")).alias("net")
+        F.count(F.lit(1)).alias("n"), money_sum("net_amount").alias("net")
     )
     return (
         per_product.join(t.dim_product.select("product_id", "category"), "product_id")
@@ -434,7 +434,7 @@ def agg_multi_distinct(t: Retail):
 )
 def agg_sum_round(t: Retail):
     return t.table("orders").groupBy("o_orderpriority").agg(
-        F.round(F.sum(as_money("o_totalprice")), 2).cast("double").alias("total_price")
+        F.round(money_sum("o_totalprice"), 2).cast("double").alias("total_price")
     )
 
 
@@ -549,7 +549,7 @@ def window_latest_row(t: Retail):
 )
 def window_rank_over_agg(t: Retail):
     spend = t.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.sum(as_money("o_totalprice")).alias("spend")
+        money_sum("o_totalprice").alias("spend")
     )
     per_customer = spend.join(t.table("customer").select("c_custkey", "c_nationkey"), "c_custkey")
     ranked = rank_distributed(
@@ -569,7 +569,7 @@ def sort_by_date(t: Retail):
     sales = gold.daily_sales(t.order_profit)
     return (
         sales.groupBy(F.col("order_date").alias("ds"))
-        .agg(F.sum(as_money("total_revenue")).cast("double").alias("y"))
+        .agg(money_sum("total_revenue").cast("double").alias("y"))
         .orderBy("ds")
     )
 

@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from shopgrain.catalog.change_queries import MOVED
 from shopgrain.catalog.reference_sql import RAW_ORDER_COLUMNS, layer, with_layers
 from shopgrain.catalog.registry import query
-from shopgrain.session import scratch_path
+from shopgrain.session import delete_path, scratch_path
 from shopgrain.sources import schemas
 from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
-from shopgrain.streaming.events import dedup_stream, purchases, retail_events, windowed_revenue
+from shopgrain.streaming.events import (
+    dedup_stream,
+    large_state_session,
+    purchases,
+    retail_events,
+    windowed_revenue,
+)
 from shopgrain.streaming.ingest import append_to, ingest_csv
 from shopgrain.streaming.upsert import read_current, stream_upsert
 
@@ -40,6 +46,7 @@ def ingest(t: Retail, feed: str, typed: bool = True, trigger: dict | None = None
         running.processAllAvailable()
         running.stop()
     running.awaitTermination()
+    delete_path(t.spark, f"{base}/raw")
     return t.spark.read.parquet(f"{base}/table")
 
 
@@ -179,6 +186,8 @@ def stream_chain(t: Retail):
     with_layers("SELECT DISTINCT customer_id FROM events_conformed", "events_conformed"),
 )
 def stream_dedup_key(t: Retail):
+    """State grows with the number of keys for as long as the stream runs, so it lives on disk."""
+    t = Retail(large_state_session(t.spark), t.folder)
     stream = dedup_stream(event_stream(t).select("customer_id", "event_id"), ["customer_id"])
     return t.spark.read.parquet(run(t, stream, "dedup")).select("customer_id")
 

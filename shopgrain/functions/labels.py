@@ -47,6 +47,7 @@ def stock_status(out_of_stock: str, below_reorder: str) -> Column:
 
 def rfm_segment(r: str, f: str, m: str) -> Column:
     """Eight customer segments; the first matching rule wins."""
+    # Segment names, score limits and their order.
     recency, frequency, monetary = F.col(r), F.col(f), F.col(m)
     rules = [
         ("Champions", (recency >= 4) & (frequency >= 4) & (monetary >= 4)),

@@ -10,7 +10,8 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.functions import as_money, ratio
+from shopgrain.functions import money_sum, ratio
+from shopgrain.functions.columns import mean_money
 
 PERIOD = "period"
 REPORTED = "__reported"
@@ -28,10 +29,9 @@ class Measure:
             value = F.when(F.expr(where), value)
         if self.agg == "count_distinct":
             return F.count_distinct(value)
-        money = as_money(value)
         if self.agg == "sum":
-            return F.sum(money).cast("double")
-        return ratio(F.sum(money), F.count(value))
+            return money_sum(value).cast("double")
+        return mean_money(value)
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.functions import as_money, ratio, rounded
+from shopgrain.functions import as_money, money_sum, ratio, rounded
 from shopgrain.functions.labels import rfm_segment, stock_status
 from shopgrain.operators.changes import latest_per_key
 from shopgrain.operators.joins import lookup_join
@@ -25,10 +25,10 @@ def _sums() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("__rows"),
         F.sum("quantity").alias("total_units_sold"),
-        F.sum(as_money("net_amount")).alias("__net"),
+        money_sum("net_amount").alias("__net"),
         F.count("net_amount").alias("__nets"),
-        F.sum(as_money("gross_profit")).alias("__profit"),
-        F.sum(as_money("gross_margin_pct")).alias("__margin"),
+        money_sum("gross_profit").alias("__profit"),
+        money_sum("gross_margin_pct").alias("__margin"),
         F.count("gross_margin_pct").alias("__margins"),
         F.sum("is_returned").alias("__returned"),
     ]
@@ -55,7 +55,7 @@ def daily_sales(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
         fact.groupBy("order_date", "region", "channel")
         .agg(
             *_sums(),
-            F.sum(as_money("gross_amount")).alias("__gross"),
+            money_sum("gross_amount").alias("__gross"),
             F.sum("is_cancelled").alias("cancelled_orders"),
             _orders(orders_unique).alias("total_orders"),
             F.count_distinct("customer_id").alias("unique_customers"),
@@ -121,7 +121,7 @@ def rfm_base(fact: DataFrame, as_of: Column, orders_unique: bool = False) -> Dat
         .agg(
             F.max("order_date").alias("last_order_date"),
             _orders(orders_unique).alias("frequency"),
-            F.round(F.sum(as_money("net_amount")), 2).alias("monetary"),
+            F.round(money_sum("net_amount"), 2).alias("monetary"),
         )
         .withColumn("recency_days", F.datediff(as_of, "last_order_date"))
     )
@@ -165,11 +165,11 @@ def customer_rfm(
 
 
 def current_stock(inventory: DataFrame) -> DataFrame:
-    """The latest snapshot per (product, warehouse); same-day ties go to the highest id."""
+    """The latest snapshot per (product, warehouse); same-day ties go to the highest id, then stock."""
     return latest_per_key(
         inventory,
         ["product_id", "warehouse_id"],
-        [F.desc_nulls_last("snapshot_date"), F.desc_nulls_last("inventory_id")],
+        [F.desc_nulls_last(c) for c in ("snapshot_date", "inventory_id", "quantity_on_hand")],
     )
 
 

@@ -89,18 +89,18 @@ class Retail:
             self.table("orders"), customers, "o_custkey", "left", self.hot_customers
         ).withColumnRenamed("o_orderkey", "l_orderkey")
         lines = lookup_join(self.lines, orders, "l_orderkey", "left", self.hot_orders)
-        discount = F.col("l_discount").cast("decimal(4,2)") * 3
+        # Whole cents and whole percents: exact, and cheaper per row than decimals.
+        cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+        percent = F.floor(F.col("l_discount") * 100 + 0.5) * 3
         return lines.select(
             _line_id().alias("order_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
             F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
-            discount.cast("double").alias("discount_pct"),
+            (percent / 100).alias("discount_pct"),
             F.col("l_extendedprice").alias("gross_amount"),
-            (F.col("l_extendedprice").cast("decimal(12,2)") * (1 - discount))
-            .cast("double")
-            .alias("net_amount"),
+            (cents * (100 - percent) / 10000).alias("net_amount"),
             _day_text("o_orderdate").alias("order_date"),
             F.col("o_orderpriority").alias("channel"),
             F.col("r_name").alias("region"),

@@ -13,10 +13,20 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 def csv_stream(
-    spark: SparkSession, src_dir: str, schema: StructType, source_file: bool = True
+    spark: SparkSession,
+    src_dir: str,
+    schema: StructType,
+    source_file: bool = True,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """New CSV files of a folder as a stream, with ``_ingested_at`` and ``_source_file``."""
-    raw = spark.readStream.schema(schema).option("header", True).csv(src_dir)
+    """New CSV files of a folder as a stream, with ``_ingested_at`` and ``_source_file``.
+
+    ``max_files`` bounds a micro-batch, so a large backlog is worked off in several commits.
+    """
+    reader = spark.readStream.schema(schema).option("header", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    raw = reader.csv(src_dir)
     # File metadata has to be read right at the scan, before any shuffle.
     audit = {"_ingested_at": F.current_timestamp()}
     if source_file:
@@ -50,10 +60,12 @@ def ingest_csv(
     checkpoint: str,
     trigger: dict | None = None,
     source_file: bool = True,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Start ingesting a CSV folder; without a schema every column stays text."""
     schema = schema or header_schema(spark, src_dir)
-    return append_to(csv_stream(spark, src_dir, schema, source_file), sink_dir, checkpoint, trigger)
+    stream = csv_stream(spark, src_dir, schema, source_file, max_files)
+    return append_to(stream, sink_dir, checkpoint, trigger)
 
 
 def append_evolving(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
