@@ -190,9 +190,10 @@ def _history_sql(first: str) -> str:
     )
 
 
-@query("scd2_snapshot", _history_sql("SELECT * FROM snap WHERE CAST(customer_id AS BIGINT) % 2 = 0"))
+@query("scd2_snapshot", _history_sql(f"{SNAPSHOT_SQL} WHERE _ingested_at = {LOADS[0]}"))
 def scd2_snapshot(t: Retail):
-    first = snapshot_rows(t).where("CAST(customer_id AS BIGINT) % 2 = 0")
+    """History of the first load, then everybody: changed, unchanged and new customers."""
+    first = snapshot(t.silver_customers.where(F.col("_ingested_at") == ntz(FIRST_LOAD_TS)))
     history = changes.scd2(None, first, "customer_id", SNAPSHOT_CHECKS)
     return changes.scd2(history, later_snapshot(t), "customer_id", SNAPSHOT_CHECKS)
 

@@ -20,12 +20,12 @@ from shopgrain.sources.conform import Retail
 # The conformed inventory holds empty shelves, so these rules find violations.
 STOCK_RULES = (
     Rule("in_stock", "quantity_on_hand > 0", "drop"),
-    Rule("even_warehouse", "CAST(warehouse_id AS BIGINT) % 10 <> 0", "drop"),
+    Rule("closed_period", "snapshot_date < '2001-01-01'", "drop"),
     Rule("above_reorder", "quantity_on_hand >= reorder_level", "warn"),
     Rule("recent", "snapshot_date >= '1998-01-01'", "warn"),
 )
 IN_STOCK = "COALESCE(quantity_on_hand > 0, FALSE)"
-EVEN_HOUSE = "COALESCE(CAST(warehouse_id AS BIGINT) % 10 <> 0, FALSE)"
+CLOSED = "COALESCE(snapshot_date < '2001-01-01', FALSE)"
 ABOVE = "COALESCE(quantity_on_hand >= reorder_level, FALSE)"
 RECENT = "COALESCE(snapshot_date >= '1998-01-01', FALSE)"
 
@@ -33,7 +33,7 @@ RECENT = "COALESCE(snapshot_date >= '1998-01-01', FALSE)"
 @query(
     "expect_or_drop",
     with_layers(
-        f"SELECT inventory_id, quantity_on_hand FROM bronze_inventory WHERE {IN_STOCK} AND {EVEN_HOUSE}",
+        f"SELECT inventory_id, quantity_on_hand FROM bronze_inventory WHERE {IN_STOCK} AND {CLOSED}",
         "bronze_inventory",
     ),
 )
@@ -72,7 +72,7 @@ def _report_sql(rule: str, action: str, holds: str, table: str) -> str:
             _report_sql(rule, action, holds, "bronze_inventory")
             for rule, action, holds in (
                 ("in_stock", "drop", IN_STOCK),
-                ("even_warehouse", "drop", EVEN_HOUSE),
+                ("closed_period", "drop", CLOSED),
                 ("above_reorder", "warn", ABOVE),
                 ("recent", "warn", RECENT),
             )
@@ -88,8 +88,8 @@ def expectation_report(t: Retail):
     "quarantine_rows",
     with_layers(
         f"""SELECT inventory_id, concat_ws(',', CASE WHEN NOT {IN_STOCK} THEN 'in_stock' END,
-          CASE WHEN NOT {EVEN_HOUSE} THEN 'even_warehouse' END) AS broken_rules
-        FROM bronze_inventory WHERE NOT ({IN_STOCK} AND {EVEN_HOUSE})""",
+          CASE WHEN NOT {CLOSED} THEN 'closed_period' END) AS broken_rules
+        FROM bronze_inventory WHERE NOT ({IN_STOCK} AND {CLOSED})""",
         "bronze_inventory",
     ),
 )
