@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from shopgrain.llm.toxicity import drop_toxic, expressions, fold, log_ratios, score, train
 
@@ -10,7 +11,7 @@ def frames(spark, sf_dir):
 def test_held_out_accuracy(spark):
     docs, labels = frames(spark, "/root/testdata/sf0.1")
     # In these tables only English texts hold words that mark them as toxic.
-    held = (fold("doc_id") % 3 == 1) & (docs.lang == "en")
+    held = (fold("doc_id") % 3 == 1) & (F.col("lang") == "en")
     found = score(docs, train(docs, labels)).join(labels, "doc_id").where(held)
     rows = [(r.score, r.toxic) for r in found.select("score", "toxic").collect()]
     toxic = [s for s, t in rows if t]
