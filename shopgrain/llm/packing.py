@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,46 +22,61 @@ from shopgrain.session import materialize
 CAPACITY = 4096
 END_ID = 1
 BATCH_BYTES = 8 << 20
-#: Remembered encodings in a worker; the memory is emptied when it is full.
-MEMORY = 400_000
+#: Encodings that a worker remembers, in each of two generations.
+MEMORY = 300_000
 
 #: A word of letters that are composed already, then ASCII marks: the tokenizer always cuts between
 #: the two, and neither half depends on the other.
-WORD_AND_MARKS = regex.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+WORD_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 class Encoder(dict):
     """Ids of a chunk without white space, as bytes of unsigned 32-bit little-endian numbers.
 
     The tokenizer treats white space as nothing but a cut, so a text's ids are its chunks' ids in
-    a row. Chunks repeat, so each is encoded once and remembered.
+    a row. Chunks and words repeat, so each is encoded once and remembered; when a memory is full,
+    it becomes the old generation, from which what is used again moves on.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def part(self, text: str) -> bytes:
-        found = self.parts.get(text)
+        self.whole = Tokenizer.from_file(path)
+        # A lower-case word or a run of marks is one unit: no need to normalise and cut it.
+        self.unit = Tokenizer.from_file(path)
+        self.unit.normalizer = None
+        self.unit.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges = self.unit.model
+        self.old_chunks: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
+        self.old_units: dict[str, bytes] = {}
+
+    def encode_unit(self, text: str) -> bytes:
+        found = self.units.get(text)
         if found is None:
-            if len(self.parts) >= MEMORY:
-                self.parts.clear()
-            found = self.parts[text] = self.encode(text)
+            found = self.old_units.get(text)
+            if found is None:
+                if text.isascii():  # bytes stand for themselves: the merges can start at once
+                    found = as_bytes([t.id for t in self.merges.tokenize(text)])
+                else:
+                    found = as_bytes(self.unit.encode(text, add_special_tokens=False).ids)
+            if len(self.units) >= MEMORY:
+                self.old_units, self.units = self.units, {}
+            if len(text) <= 64:
+                self.units[text] = found
         return found
 
     def __missing__(self, chunk: str) -> bytes:
-        m = WORD_AND_MARKS.fullmatch(chunk)
-        if m:
-            ids = self.part(m[1].lower()) + (self.part(m[2]) if m[2] else b"")
-        else:
-            ids = self.encode(chunk)
+        ids = self.old_chunks.get(chunk)
+        if ids is None:
+            m = WORD_AND_MARKS.fullmatch(chunk)
+            if m:
+                ids = self.encode_unit(m[1].lower()) + (self.encode_unit(m[2]) if m[2] else b"")
+            else:
+                ids = as_bytes(self.whole.encode(chunk, add_special_tokens=False).ids)
         if len(self) >= MEMORY:
+            self.old_chunks = dict(self)
             self.clear()
         if len(chunk) <= 64:
             self[chunk] = ids
@@ -69,6 +86,13 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 

@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopgrain.llm.chat import format_chat, read_back, row_turns, under_loss
 from shopgrain.llm.common import read
 from shopgrain.llm.decontam import contamination
 from shopgrain.llm.exact_dedup import exact_dedup
+from shopgrain.llm.html_text import extract
 from shopgrain.llm.packing import pack
+from shopgrain.llm.secret_scan import scan
 from shopgrain.llm.simhash import simhash_groups
 from shopgrain.llm.toxicity import THRESHOLD, fold, score, train
+from shopgrain.llm.urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +39,53 @@ FROM d JOIN g USING (t)
 """
 
 
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string"
+    )
+    formatted = format_chat(row_turns(rows.unionByName(probe)))
+    turns = read_back(F.col("formatted"))
+    texts = under_loss(F.col("formatted"), F.col("loss"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return (
+        formatted.withColumn("turns", turns)
+        .withColumn("under_loss", F.array_join(texts, ""))
+        .select(
+            "conv_id",
+            F.size("turns").cast("long").alias("n_turns"),
+            F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+            F.length("under_loss").cast("long").alias("loss_chars"),
+            F.sha2("under_loss", 256).alias("loss_sha256"),
+            F.length("formatted").cast("long").alias("formatted_chars"),
+        )
+    )
+
+
+def _escaped(column: str) -> str:
+    """The formatted length of a text in SQL: one more for each backslash and each control string."""
+    marks = ("\\", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+    more = (f"(length({column}) - length(replace({column}, '{m}', ''))) // {len(m)}" for m in marks)
+    return f"(length({column}) + {' + '.join(more)})"
+
+
+OP3_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(8 + length(role) + {_escaped("text")}
+    + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 17 ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, read(spark, sf_dir, "benchmark"))
@@ -61,6 +112,27 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    base = F.filter("spans", lambda s: s["kind"] != "dense")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(F.array_join(F.transform(base, line), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", line), ",").alias("spans"),
+        count("dense").alias("n_dense"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(read(spark, sf_dir, "documents"), words=3, distance=3, seed=42)
     return groups.select(
@@ -70,6 +142,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Host, path and verdict of the rules.
+RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return judge(read(spark, sf_dir, "pages"), rules)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,10 +167,14 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_packing,
         op2_exact_dedup,
+        op3_chat,
         op4_decontamination,
         op6_toxicity,
+        op7_html,
+        op8_secrets,
         op9_simhash,
+        op10_urls,
         pipeline,
     )
 }
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_chat": OP3_SQL}
