@@ -14,9 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopgrain.llm.common import shards
+from shopgrain.llm.common import partitions, shards
 from shopgrain.llm.urls import host_of, path_of
-from shopgrain.session import materialize
 
 BATCH_BYTES = 4 << 20
 
@@ -205,6 +204,19 @@ def closeness(a: _Page, b: _Page | None) -> int:
     return len(commonprefix([a.path, b.path]))
 
 
+def neighbours(pages: Iterator[_Page], parsed: bool) -> Iterator[tuple[_Page | None, _Page, _Page | None]]:
+    """Each page with the one before and the one after; ``parsed``: with their loose lines."""
+    before, own = None, None
+    for after in pages:
+        if parsed:
+            after.lines = loose(after.html)
+        if own is not None:
+            yield before, own, after
+        before, own = own, after
+    if own is not None:
+        yield before, own, None
+
+
 def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
@@ -229,9 +241,9 @@ def extract(
         path_of(F.col(url_col)).alias("path"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    schema = (
-        f"id {kind}, url string, text string, part int, nth long, last boolean, close int, "
-        "host string, path string, html string, lines array<string>"
+    # Sorted once; a fixed number of tasks, so that both passes below number them alike.
+    ranged = rows.repartitionByRange(partitions(pages.sparkSession), "host", "path", "id").sortWithinPartitions(
+        "host", "path", "id"
     )
 
     def pages_of(batches: Iterator[pa.RecordBatch]) -> Iterator[_Page]:
@@ -239,56 +251,45 @@ def extract(
         for b in shards(batches, BATCH_BYTES):
             ids, urls, texts, hosts, paths = (b.column(i) for i in range(5))
             for i in range(b.num_rows):
-                page = texts[i].as_py()
-                yield _Page(index, hosts[i].as_py(), paths[i].as_py(), loose(page), page, (ids[i], urls[i]))
+                yield _Page(index, hosts[i].as_py(), paths[i].as_py(), [], texts[i].as_py(), (ids[i], urls[i]))
                 index += 1
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         held: list[dict] = []
         size = 0
-
-        def record(before: _Page | None, own: _Page, after: _Page | None) -> dict:
+        for before, own, after in neighbours(pages_of(batches), parsed=True):
             near = max((closeness(own, before), 1, before), (closeness(own, after), 0, after), key=lambda x: x[:2])
             stays = without_shared(own.lines, near[2].lines) if near[0] >= 0 else None
-            edge = before is None or after is None
-            return {
-                "id": own.row[0].as_py(), "url": own.row[1].as_py(), "text": main_text(own.html, stays),
-                "part": part, "nth": own.index, "last": after is None, "close": near[0], "host": own.host,
-                "path": own.path, "html": own.html if edge else None, "lines": own.lines if edge else None,
-            }
-
-        before, own = None, None
-        for after in pages_of(batches):
-            if own is not None:
-                held.append(record(before, own, after))
-                size += len(held[-1]["text"])
-                if size > BATCH_BYTES:
-                    yield pa.RecordBatch.from_pylist(held, arrow_schema)
-                    held, size = [], 0
-            before, own = own, after
-        if own is not None:
-            held.append(record(before, own, None))
-        if held:
-            yield pa.RecordBatch.from_pylist(held, arrow_schema)
+            text = main_text(own.html, stays)
+            held.append({"id": own.row[0].as_py(), "url": own.row[1].as_py(), "text": text, "part": part, "nth": own.index})
+            size += len(text)
+            if size > BATCH_BYTES:
+                yield pa.RecordBatch.from_pylist(held, done_schema)
+                held, size = [], 0
+        yield pa.RecordBatch.from_pylist(held, done_schema)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for before, own, after in neighbours(pages_of(batches), parsed=False):
+            if before is None or after is None:
+                close = max(closeness(own, before), closeness(own, after))
+                found = (part, own.index, close, own.host, own.path, own.html, loose(own.html))
+                yield pa.RecordBatch.from_pylist([dict(zip(ends_schema.names, found))], ends_schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
-    done = materialize(
-        rows.repartitionByRange("host", "path", "id")
-        .sortWithinPartitions("host", "path", "id")
-        .mapInArrow(difference, schema),
-        "differenced",
-    )
+    done_ddl = f"id {kind}, url string, text string, part int, nth long"
+    ends_ddl = "part int, nth long, close int, host string, path string, html string, lines array<string>"
+    done_schema, ends_schema = (to_arrow_schema(StructType.fromDDL(d)) for d in (done_ddl, ends_ddl))
+    done = ranged.mapInArrow(difference, done_ddl)
+    edges = ranged.mapInArrow(ends, ends_ddl)
     # Two pages a task at most, in the tasks' order.
-    edges = done.where("nth = 0 OR last")
     order = Window.orderBy("part", "nth")
     beside = edges.select(
         "part",
         "nth",
-        "last",
         "close",
         "host",
         "path",

@@ -16,6 +16,7 @@ from shopgrain.llm.html_text import extract
 from shopgrain.llm.packing import pack
 from shopgrain.llm.secret_scan import scan
 from shopgrain.llm.simhash import simhash_groups
+from shopgrain.llm.suffix_dedup import remove_repeats
 from shopgrain.llm.toxicity import THRESHOLD, fold, score, train
 from shopgrain.llm.urls import judge
 
@@ -101,6 +102,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, train(docs, read(spark, sf_dir, "labels")))
@@ -169,6 +181,7 @@ QUERIES: dict[str, Query] = {
         op2_exact_dedup,
         op3_chat,
         op4_decontamination,
+        op5_suffix_dedup,
         op6_toxicity,
         op7_html,
         op8_secrets,
