@@ -189,6 +189,8 @@ def links(nodes: DataFrame, distance: int = 3, n_pivots: int = 16) -> DataFrame:
     for level in range(2, levels + 1):
         rows = dealt(rows.select("path", "fp"), level)
         sizes = rows.groupBy("path", "val").agg(F.count("*").alias("n")).where("n > 1")
+        # Written first: a join of two plain shuffles can split a hot bucket.
+        sizes = materialize(sizes, f"sizes-{level}")
         rows = materialize(rows.join(sizes, ["path", "val"]), f"buckets-{level}")
         ready = rows if level == levels else rows.where(F.col("n") <= MAX_BUCKET)
         part = (

@@ -295,6 +295,7 @@ def _by_digest(pieces: DataFrame, length: int) -> DataFrame:
         "window-digests",
     )
     often = rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    often = materialize(often, "common-windows")
     found = rows.join(often, ["h1", "h2"], "left_semi").groupBy("a", "s", "s2").agg(
         F.array_sort(F.collect_list("i")).alias("i")  # as many as a segment has starts at most
     )
@@ -316,13 +317,18 @@ def repeated_spans(
     path = scratch_path(spark, "segments")
     segments(docs, length, gram).write.parquet(path)
     every = spark.read.parquet(path)
-    shared = every.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-    shared = materialize(every.join(shared, "a", "left_semi"), "shared-segments")
+    # Counts are written before they are joined: a join of two plain shuffles can split a hot anchor.
+    often = every.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    shared = every.join(materialize(often, "shared-anchors"), "a", "left_semi")
+    shared = materialize(shared, "shared-segments")
     delete_path(spark, path)  # most segments are the only ones with their anchor
-    copies = shared.groupBy("a", "s", "s2").agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "th", "o", "nd")).alias("one")
+    copies = materialize(
+        shared.groupBy("a", "s", "s2").agg(
+            F.count("*").alias("n"), F.min(F.struct("id", "th", "o", "nd")).alias("one")
+        ),
+        "segment-copies",
     )
-    kinds = copies.groupBy("a").agg(F.count("*").alias("kinds"))
+    kinds = materialize(copies.groupBy("a").agg(F.count("*").alias("kinds")), "anchor-kinds")
     copies = materialize(copies.join(kinds, "a"), "different-segments")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
