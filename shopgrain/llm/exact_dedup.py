@@ -17,6 +17,7 @@ def exact_dedup(
     text_col: str = "text",
     keep: str = "min",
     carry: tuple[str, ...] = (),
+    with_text: bool = False,
 ) -> DataFrame:
     """Group rows whose texts are identical and mark the one that stays.
 
@@ -25,8 +26,8 @@ def exact_dedup(
     of a task's fair share of rows is first cut into parts by its ids; the few part results
     are merged afterwards, so no task gathers a whole hot group.
 
-    Returns ``id_col``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` and the carried
-    columns. Null text counts as empty; a null id stays only if the whole group has none; of
+    Returns ``id_col``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, the carried
+    columns and, ``with_text``, the text (empty for null). Null text counts as empty; a null id stays only if the whole group has none; of
     repeated rows (same id and text) one is kept. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -62,6 +63,7 @@ def exact_dedup(
             "__id",
             "__sha",
             "__part",
+            *(["__text"] if with_text else []),
             *(f"__c{i}" for i in range(len(carry))),
             F.row_number().over(same.orderBy(order)).alias("__rank"),
             pick("__id").over(same).alias("__keep"),
@@ -82,18 +84,22 @@ def exact_dedup(
         size.alias("group_size"),
         ((F.col("__rank") == 1) & F.col("__id").eqNullSafe(keep_id)).alias("kept"),
         F.col("__sha").alias("text_sha256"),
+        *([F.col("__text").alias(text_col)] if with_text else []),
         *(F.col(f"__c{i}").alias(c) for i, c in enumerate(carry) if c != id_col),
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", keep: str = "max") -> DataFrame:
     """The documents that stay, with their own columns; extra columns are kept whatever their name."""
-    names = docs.columns
+    names = {c: f"__d{i}" for i, c in enumerate(docs.columns)}
+    text = names["text"]
     marked = exact_dedup(
-        docs.withColumnsRenamed({c: f"__d{i}" for i, c in enumerate(names)}),
-        f"__d{names.index(id_col)}",
-        f"__d{names.index('text')}",
+        docs.withColumnsRenamed(names).withColumn("__blank", F.col(text).isNull()),
+        names[id_col],
+        text,
         keep,
-        tuple(f"__d{i}" for i in range(len(names))),
+        (*(n for n in names.values() if n != text), "__blank"),
+        with_text=True,
     )
-    return marked.where("kept").select(*(F.col(f"__d{i}").alias(c) for i, c in enumerate(names)))
+    own = F.when(~F.col("__blank"), F.col(text))
+    return marked.where("kept").select(*((own if n == text else F.col(n)).alias(c) for c, n in names.items()))

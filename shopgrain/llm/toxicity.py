@@ -168,15 +168,17 @@ def train(
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(held.value)
         for b in batches:
-            x = [known.evidence(t.as_py()) for t in b.column(1).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64())], names=["toxic", "x"])
+            x = [known.evidence(t.as_py()) for t in b.column(2).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:2], pa.array(x, pa.float64())], names=["fold", "toxic", "x"]
+            )
 
     sample = (
         rows.where(calibrates)
-        .orderBy("__fold")
+        .select("__fold", "toxic", "text")
+        .mapInArrow(evidence, "fold long, toxic int, x double")
+        .orderBy("fold", "toxic", "x")
         .limit(CALIBRATION_ROWS)
-        .select("toxic", "text")
-        .mapInArrow(evidence, "toxic int, x double")
         .toArrow()
     )
     slope, offset = fit_logistic(
