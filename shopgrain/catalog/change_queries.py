@@ -97,30 +97,27 @@ def merge_upsert(t: Retail):
 @query(
     "merge_update_columns",
     with_layers(
-        f"""SELECT order_id, quantity, CASE WHEN {UPDATED} THEN 'Returned' ELSE status END AS status
+        f"""SELECT * REPLACE (CASE WHEN {UPDATED} THEN 'Returned' ELSE status END AS status)
         FROM silver_orders""",
         "silver_orders",
     ),
 )
 def merge_update_columns(t: Retail):
     source = order_updates(t).select("order_id", "status")
-    return changes.update_columns(
-        t.silver_orders.select("order_id", "quantity", "status"), source, ["order_id"], ["status"]
-    )
+    return changes.update_columns(t.silver_orders, source, ["order_id"], ["status"])
 
 
 @query(
     "soft_delete",
     with_layers(
-        f"""SELECT order_id, {UPDATED} AS is_deleted,
-          CASE WHEN {UPDATED} THEN {CDC_SQL_TS} ELSE {BATCH_TS} END AS _updated_at FROM silver_orders""",
+        f"""SELECT * REPLACE ({UPDATED} AS is_deleted,
+          CASE WHEN {UPDATED} THEN {CDC_SQL_TS} ELSE {BATCH_TS} END AS _updated_at) FROM silver_orders""",
         "silver_orders",
     ),
 )
 def soft_delete(t: Retail):
     doomed = sample_by_key(t.bronze_orders.select("order_id"), "order_id", 0.01)
-    target = t.silver_orders.select("order_id", "is_deleted", "_updated_at")
-    return changes.soft_delete(target, doomed, ["order_id"], ntz(CDC_TS))
+    return changes.soft_delete(t.silver_orders, doomed, ["order_id"], ntz(CDC_TS))
 
 
 SAMPLED_PRODUCT = "substr(md5(product_id), 1, 8) < '80000000'"
@@ -129,13 +126,13 @@ SAMPLED_PRODUCT = "substr(md5(product_id), 1, 8) < '80000000'"
 @query(
     "merge_delete_unmatched",
     with_layers(
-        f"""SELECT product_id, category, retail_price + 1 AS retail_price FROM silver_products
+        f"""SELECT * REPLACE (retail_price + 1 AS retail_price) FROM silver_products
         WHERE {SAMPLED_PRODUCT}""",
         "silver_products",
     ),
 )
 def merge_delete_unmatched(t: Retail):
-    target = t.silver_products.select("product_id", "category", "retail_price")
+    target = t.silver_products
     source = sample_by_key(target, "product_id", 0.5).withColumn(
         "retail_price", F.col("retail_price") + 1
     )
@@ -212,21 +209,20 @@ EARLY = "substr(md5('e' || product_id), 1, 8) >= '0ccccccc'"
 @query(
     "table_changes",
     with_layers(
-        f"""SELECT product_id, category, retail_price, 'delete' AS _change_type FROM silver_products
-          WHERE {EARLY} AND {GONE}
-        UNION ALL SELECT product_id, category, retail_price + 1, 'insert' FROM silver_products
-          WHERE NOT ({EARLY}) AND NOT ({GONE}) AND {PRICED}
-        UNION ALL SELECT product_id, category, retail_price, 'insert' FROM silver_products
-          WHERE NOT ({EARLY}) AND NOT ({GONE}) AND NOT ({PRICED})
-        UNION ALL SELECT product_id, category, retail_price, 'update_pre' FROM silver_products
-          WHERE {EARLY} AND NOT ({GONE}) AND {PRICED}
-        UNION ALL SELECT product_id, category, retail_price + 1, 'update_post' FROM silver_products
-          WHERE {EARLY} AND NOT ({GONE}) AND {PRICED}""",
+        f"""WITH_ROWS SELECT *, 'delete' AS _change_type FROM silver_products WHERE {EARLY} AND {GONE}
+        UNION ALL SELECT *, 'insert' FROM later WHERE NOT ({EARLY})
+        UNION ALL SELECT *, 'update_pre' FROM silver_products WHERE {EARLY} AND NOT ({GONE}) AND {PRICED}
+        UNION ALL SELECT *, 'update_post' FROM later WHERE {EARLY} AND {PRICED}""",
         "silver_products",
+    ).replace(
+        "\nWITH_ROWS",
+        f""",\nlater AS (SELECT * REPLACE (CASE WHEN {PRICED} THEN retail_price + 1 ELSE retail_price END
+          AS retail_price) FROM silver_products WHERE NOT ({GONE}))\n""",
     ),
 )
 def table_changes(t: Retail):
-    products = t.silver_products.select("product_id", "category", "retail_price")
+    """Every column counts as a change, not only the ones that happen to differ here."""
+    products = t.silver_products
     old = products.where(EARLY)
     new = products.where(f"NOT ({GONE})").withColumn(
         "retail_price", F.when(F.expr(PRICED), F.col("retail_price") + 1).otherwise(F.col("retail_price"))

@@ -19,8 +19,7 @@ from shopgrain.sources.conform import Retail
 )
 def compact_files(t: Retail):
     small, large = scratch_path(t.spark, "small_files"), scratch_path(t.spark, "compacted")
-    columns = ["l_orderkey", "l_partkey", "l_returnflag", "l_extendedprice", "l_shipdate"]
-    lines = t.table("lineitem").select(*columns)
+    lines = t.table("lineitem")
     lines.repartition(4 * max(2, lines.rdd.getNumPartitions())).write.parquet(small)
     compacted = layout.compact(t.spark, small, large)
     before, after = (layout.file_sizes(t.spark, p).count() for p in (small, large))
@@ -41,11 +40,8 @@ def compact_files(t: Retail):
     ),
 )
 def zorder_layout(t: Retail):
-    orders = t.silver_orders.select(
-        "order_id", "order_date", "order_year", "region", "product_id", "net_amount"
-    )
     staged = scratch_path(t.spark, "silver_orders")
-    orders.write.parquet(staged)
+    t.silver_orders.write.parquet(staged)
     clustered = layout.zorder(
         t.spark.read.parquet(staged),
         scratch_path(t.spark, "clustered"),

@@ -22,7 +22,7 @@ from shopgrain.operators.quality import kept_rows
 from shopgrain.plans import daily, gold, silver, star
 from shopgrain.plans.declared import SILVER_TESTS
 from shopgrain.session import scratch_path
-from shopgrain.sources.conform import Retail
+from shopgrain.sources.conform import Retail, as_text
 
 
 def latest_by(key: str, table: str) -> str:
@@ -130,10 +130,11 @@ SPINE_SQL = (
 )
 
 
-def order_days(t: Retail):
-    """Days from the first to the last order date, the last one excluded."""
+def order_days(t: Retail, with_last: bool = False):
+    """Days from the first to the last order date; a spine's end is excluded, unless asked for."""
     bounds = t.table("orders").agg(
-        F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last")
+        F.to_date(F.min("o_orderdate")).alias("first"),
+        F.date_add(F.to_date(F.max("o_orderdate")), int(with_last)).alias("last"),
     )
     return star.date_spine(bounds, "first", "last")
 
@@ -152,10 +153,12 @@ def generate_date_spine(t: Retail):
       strftime(date_day, '%Y-%m') AS year_month,
       CAST(year(date_day) AS VARCHAR) || '-Q' || CAST(quarter(date_day) AS VARCHAR) AS year_quarter,
       dayofweek(date_day) IN (0, 6) AS is_weekend, month(date_day) IN (11, 12) AS is_holiday_season
-    FROM ({SPINE_SQL})""",
+    FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY))::DATE
+      AS date_day FROM orders)""",
 )
 def dim_date(t: Retail):
-    return star.dim_date(order_days(t))
+    """A row for every day with orders, the last one included."""
+    return star.dim_date(order_days(t, with_last=True))
 
 
 @query("fact_orders", layer("fact_orders"))
@@ -181,7 +184,7 @@ def gold_customer_rfm(t: Retail):
 @query("gold_inventory_health", layer("gold_inventory_health"))
 def gold_inventory_health(t: Retail):
     return gold.inventory_health(
-        t.silver_inventory, t.dim_product, [str(k) for k in t.hot_products]
+        t.silver_inventory, t.dim_product, as_text(t.hot_products)
     )
 
 

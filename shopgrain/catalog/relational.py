@@ -665,11 +665,11 @@ def scalar_math_functions(t: Retail):
       CAST(c_custkey AS VARCHAR) || CAST(c_nationkey AS VARCHAR) AS digits,
       md5(COALESCE(CAST(c_custkey AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' || c_mktsegment)
         AS row_key,
-      c_mktsegment LIKE '%E%' AS has_e, ['view', 'add_to_cart', 'purchase'][c_custkey % 3 + 1] AS action
+      c_mktsegment LIKE '%E%' AS has_e, [c_name, c_mktsegment][1 + (c_acctbal < 0)::INT] AS picked
     FROM customer""",
 )
 def scalar_string_functions(t: Retail):
-    actions = F.array(F.lit("view"), F.lit("add_to_cart"), F.lit("purchase"))
+    columns = F.array("c_name", "c_mktsegment")
     return t.table("customer").select(
         "c_custkey",
         F.concat("c_name", F.lit("/"), "c_mktsegment").alias("joined"),
@@ -677,7 +677,7 @@ def scalar_string_functions(t: Retail):
         F.concat(F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")).alias("digits"),
         surrogate_key("c_custkey", "c_mktsegment").alias("row_key"),
         F.col("c_mktsegment").like("%E%").alias("has_e"),
-        F.element_at(actions, (F.col("c_custkey") % 3 + 1).cast("int")).alias("action"),
+        F.element_at(columns, 1 + (F.col("c_acctbal") < 0).cast("int")).alias("picked"),
     )
 
 

@@ -16,6 +16,9 @@ EMAIL_MASK_CHAR = "*"
 RAW_DATE_FORMAT = "yyyy-MM-dd"
 
 LOW_BITS = 20
+#: Decimals that an exact sum keeps of each value unless told otherwise.
+SUM_SCALE = 10
+MAX_SUMMAND = 1e18
 
 
 def _col(c: Column | str) -> Column:
@@ -36,23 +39,39 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
 
 
-def money_sum(c: Column | str) -> Column:
-    """Exact sum of doubles with up to four decimals, as DECIMAL(28,4).
+def _known(c: Column) -> Column:
+    """Values that count: NaN is missing, in sums, counts and means alike."""
+    return F.when(~F.isnan(c.cast("double")), c)
 
-    Counts ten-thousandths in two BIGINT sums, high and low bits apart, so no total overflows;
-    about three times as fast as summing DECIMAL values. NaN counts as null.
-    """
-    c = _col(c)
-    units = F.when(~F.isnan(c.cast("double")), F.floor(c * 10000 + 0.5))
-    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(19,0)")
-    low = F.sum(units.bitwiseAND(2**LOW_BITS - 1))
-    total = high * F.lit(2**LOW_BITS) + low
-    return (total * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(28,4)")
 
+def money_sum(c: Column | str, scale: int = SUM_SCALE) -> Column:
+    """Exact sum of numbers rounded to ``scale`` decimals each (half up), as DECIMAL(38, scale).
 
-def mean_money(c: Column | str) -> Column:
-    """Exact mean of a money column (nulls ignored)."""
-    return ratio(money_sum(c), F.count(_col(c)))
+    The integer part goes into two BIGINT sums, high and low bits apart, the fraction into a
+    third: independent of the order of tasks, and cheaper than adding DECIMAL values. Doubles have
+    about 16 digits, so a scale of 10 is beyond what amounts of a million and more can hold. A
+    value of 1e18 or more in size, infinity included, is an error; NaN counts as null.
+    """
+    value = _known(_col(c)).cast("double")
+    value = F.when(
+        F.abs(value) >= MAX_SUMMAND, F.raise_error(F.lit("value out of range for an exact sum"))
+    ).otherwise(value)
+    whole = F.floor(value)
+    part = F.floor((value - whole) * 10**scale + 0.5)
+    high = F.sum(F.shiftright(whole, LOW_BITS)).cast("decimal(19,0)")
+    low = F.sum(whole.bitwiseAND(2**LOW_BITS - 1)).cast("decimal(19,0)")
+    fraction = F.sum(part).cast("decimal(19,0)") * F.lit(f"1e-{scale}").cast(f"decimal({scale},{scale})")
+    return (high * F.lit(2**LOW_BITS) + low + fraction).cast(f"decimal(38,{scale})")
+
+
+def money_count(c: Column | str) -> Column:
+    """How many values ``money_sum`` adds up."""
+    return F.count(_known(_col(c)))
+
+
+def mean_money(c: Column | str, scale: int = SUM_SCALE) -> Column:
+    """The exact sum by the number of values, nulls and NaN left out of both."""
+    return ratio(money_sum(c, scale), money_count(c))
 
 
 def surrogate_key(*cols: Column | str) -> Column:

@@ -14,15 +14,6 @@ def scan_splits(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a table read as fewer splits than half the cores out by ``key``; larger ones pass as is.
-
-    A small file is one split, and without a shuffle all work up to the next one is one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if scan_splits(df) < cores / 2 else df
-
-
 def hot_keys(
     df: DataFrame, key: str, share: float = 0.005, min_splits: int = 64, sample: float = 0.01
 ) -> list:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.functions import money_sum, ratio
-from shopgrain.functions.columns import mean_money
+from shopgrain.functions.columns import SUM_SCALE, mean_money
 
 PERIOD = "period"
 REPORTED = "__reported"
@@ -22,6 +22,8 @@ class Measure:
     name: str
     agg: Literal["sum", "average", "count_distinct"]
     expr: str
+    #: Decimals that sums and averages keep of each value.
+    scale: int = SUM_SCALE
 
     def aggregate(self, where: str | None) -> Column:
         value = F.expr(self.expr)
@@ -30,8 +32,8 @@ class Measure:
         if self.agg == "count_distinct":
             return F.count_distinct(value)
         if self.agg == "sum":
-            return money_sum(value).cast("double")
-        return mean_money(value)
+            return money_sum(value, self.scale).cast("double")
+        return mean_money(value, self.scale)
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.functions import as_money, money_sum, ratio, rounded
+from shopgrain.functions.columns import money_count
 from shopgrain.functions.labels import rfm_segment, stock_status
 from shopgrain.operators.changes import latest_per_key
 from shopgrain.operators.joins import lookup_join
@@ -26,10 +27,10 @@ def _sums() -> list[Column]:
         F.count(F.lit(1)).alias("__rows"),
         F.sum("quantity").alias("total_units_sold"),
         money_sum("net_amount").alias("__net"),
-        F.count("net_amount").alias("__nets"),
+        money_count("net_amount").alias("__nets"),
         money_sum("gross_profit").alias("__profit"),
         money_sum("gross_margin_pct").alias("__margin"),
-        F.count("gross_margin_pct").alias("__margins"),
+        money_count("gross_margin_pct").alias("__margins"),
         F.sum("is_returned").alias("__returned"),
     ]
 

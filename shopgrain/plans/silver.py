@@ -38,12 +38,6 @@ INVENTORY_RULES = (
     Rule("valid_inventory_id", "inventory_id IS NOT NULL", "drop"),
     Rule("non_negative_stock", "quantity_on_hand >= 0", "warn"),
 )
-RULES = {
-    "orders": ORDER_RULES,
-    "customers": CUSTOMER_RULES,
-    "products": PRODUCT_RULES,
-    "inventory": INVENTORY_RULES,
-}
 
 
 def typed_orders(bronze: DataFrame) -> DataFrame:

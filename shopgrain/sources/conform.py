@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.operators.joins import hot_keys, lookup_join, spread
+from shopgrain.operators.joins import hot_keys, lookup_join
 from shopgrain.plans import silver, star
 
 AS_OF = dt.date(2001, 8, 2)
@@ -42,6 +42,11 @@ def _line_id() -> Column:
     )
 
 
+def as_text(keys: list) -> list[str | None]:
+    """Hot keys of a number column for its text form; null stays null."""
+    return [None if k is None else str(k) for k in keys]
+
+
 class Retail:
     """Raw feeds, cleaned layers and star schema over one folder of source tables."""
 
@@ -59,7 +64,7 @@ class Retail:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return spread(self.table("lineitem"), "l_orderkey")
+        return self.table("lineitem")
 
     @cached_property
     def hot_orders(self) -> list:
@@ -208,7 +213,7 @@ class Retail:
     def order_profit(self) -> DataFrame:
         """The fact rows with product cost, for reports that read no customer attribute."""
         return star.with_product(
-            self.order_lines, self.dim_product, [str(k) for k in self.hot_products]
+            self.order_lines, self.dim_product, as_text(self.hot_products)
         )
 
     @cached_property
@@ -217,6 +222,6 @@ class Retail:
             self.silver_orders,
             self.dim_customer,
             self.dim_product,
-            hot_customers=[str(k) for k in self.hot_customers],
-            hot_products=[str(k) for k in self.hot_products],
+            hot_customers=as_text(self.hot_customers),
+            hot_products=as_text(self.hot_products),
         )

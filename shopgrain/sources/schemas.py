@@ -21,11 +21,6 @@ INVENTORY = (
     "inventory_id string, product_id string, warehouse_id string, snapshot_date string, "
     "quantity_on_hand int, reorder_level int, is_below_reorder string"
 )
-EVENTS = (
-    "event_id string, customer_id string, product_id string, event_type string, "
-    "amount double, timestamp timestamp, region string"
-)
-
 FEEDS = {
     "orders": ORDERS,
     "products": PRODUCTS,

@@ -1,12 +1,14 @@
 """Edge rows of the scalar rules."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from shopgrain.functions import email_mask, rounded, surrogate_key, to_bool, to_day
+from shopgrain.functions import email_mask, money_sum, rounded, surrogate_key, to_bool, to_day
 from shopgrain.functions.calendar import us_holiday
+from shopgrain.functions.columns import mean_money
 from shopgrain.functions.labels import age_band, discount_tier, rfm_segment, stock_status
 
 
@@ -96,3 +98,23 @@ def test_rfm_segments_over_all_score_triples(spark):
 def test_holidays(spark, day, name):
     df = spark.createDataFrame([(dt.date.fromisoformat(day),)], "d date")
     assert df.select(us_holiday("d")).first()[0] == name
+
+
+def test_exact_sums_and_means(spark):
+    def sums(values, scale=10):
+        row = spark.createDataFrame([(v,) for v in values], "v double").agg(
+            money_sum("v", scale).alias("s"), mean_money("v", scale).alias("m")
+        )
+        return row.first()
+
+    third = spark.range(1_000_000).select(money_sum(F.lit(1.0) / 3000).cast("double").alias("s")).first().s
+    assert abs(third - 1_000_000 / 3000) < 1e-4
+    assert sums([1e15, 0.25, -1e15, 1e17]).s == Decimal("100000000000000000.25")
+    assert sums([0.1] * 3).s == Decimal("0.3") and sums([-0.005, -1.5]).s == Decimal("-1.505")
+    assert sums([0.12345, 1.0], 2).s == Decimal("1.12")
+    assert sums([10.0, 20.0, float("nan"), None]).m == 15.0
+    empty = sums([None, float("nan")])
+    assert empty.s is None and empty.m is None
+    for bad in (float("inf"), -float("inf"), 1e18):
+        with pytest.raises(Exception, match="out of range"):
+            sums([1.0, bad])
