@@ -11,7 +11,7 @@ from shopgrain.catalog.reference_sql import with_layers
 from shopgrain.catalog.registry import query
 from shopgrain.operators import quality
 from shopgrain.operators.quality import Rule, TableTest
-from shopgrain.plans import gold
+from shopgrain.plans import gold, silver
 from shopgrain.plans.declared import ORDER_CONTRACT, SILVER_TESTS, SOURCE_TESTS
 from shopgrain.session import materialize
 from shopgrain.sources import schemas
@@ -43,45 +43,81 @@ def expect_or_drop(t: Retail):
     )
 
 
-@query(
-    "expect_warn",
-    with_layers(
-        f"""SELECT 'above_reorder' AS rule, COUNT(*) FILTER (WHERE NOT {ABOVE}) AS failed FROM bronze_inventory
-        UNION ALL SELECT 'recent', COUNT(*) FILTER (WHERE NOT {RECENT}) FROM bronze_inventory""",
-        "bronze_inventory",
+#: Broken values put into rows picked by the first letters of their key's hash: (letters, column,
+#: value). The source tables are clean; without these no declared rule could fail.
+BROKEN = {
+    "orders": (
+        ("0a", "quantity", "0"),
+        ("1b", "net_amount", "-1.0"),
+        ("2c", "order_date", "'2024-13-01'"),
+        ("3d", "discount_pct", "1.5"),
+        ("4e", "order_id", "NULL"),
     ),
-)
-def expect_warn(t: Retail):
-    warnings = [r for r in STOCK_RULES if r.action == "warn"]
-    return quality.expectation_report(t.bronze_inventory, warnings).select("rule", "failed")
+    "customers": (("0", "age", "17"), ("1", "email", "'nobody'"), ("2", "customer_id", "NULL")),
+    "products": (("0a", "cost_price", "0.0"), ("1b", "retail_price", "-1.0"), ("2c", "product_id", "NULL")),
+    "inventory": (("0a", "quantity_on_hand", "-1"), ("1b", "inventory_id", "NULL")),
+}
+DECLARED = {
+    "orders": (silver.ORDER_RULES, lambda t, rows: silver.expect_orders(rows, t.batch_ts)),
+    "customers": (silver.CUSTOMER_RULES, lambda t, rows: silver.expect_customers(rows)),
+    "products": (silver.PRODUCT_RULES, lambda t, rows: silver.expect_products(rows)),
+    "inventory": (silver.INVENTORY_RULES, lambda t, rows: silver.expect_inventory(rows)),
+}
+
+
+def _picked(feed: str, letters: str) -> str:
+    return f"substr(md5({schemas.KEYS[feed]}), 1, {len(letters)}) = '{letters}'"
+
+
+def broken_feed(t: Retail, feed: str) -> DataFrame:
+    rows = t.bronze(feed)
+    return rows.withColumns(
+        {c: F.expr(f"CASE WHEN {_picked(feed, x)} THEN {v} ELSE {c} END") for x, c, v in BROKEN[feed]}
+    )
 
 
-def _report_sql(rule: str, action: str, holds: str, table: str) -> str:
-    failed = f"COUNT(*) FILTER (WHERE NOT {holds})"
-    dropped = failed if action == "drop" else "CAST(0 AS BIGINT)"
-    return (
-        f"SELECT '{rule}' AS rule, '{action}' AS action, COUNT(*) - {failed} AS passed, "
-        f"{failed} AS failed, {dropped} AS dropped FROM {table}"
-    )
+def _declared_sql(only: str | None, line) -> str:
+    """Counts from the predicates told again for the broken rows: all null keys are one row."""
+    parts = []
+    for feed, (rules, _) in DECLARED.items():
+        key = schemas.KEYS[feed]
+        by_column = {c: _picked(feed, x) for x, c, _ in BROKEN[feed]}
+        null_key = by_column[key]
+        total = f"(count(*) FILTER (NOT {null_key}) + max(({null_key})::INT))::BIGINT"
+        for rule in rules:
+            if only in (None, rule.action):
+                column = next(c for c in by_column if c in rule.predicate)
+                failed = f"max(({null_key})::INT)" if column == key else f"count(*) FILTER ({by_column[column]})"
+                parts.append(line(rule, f"({failed})::BIGINT", total) + f" FROM bronze_{feed}")
+    return with_layers(" UNION ALL ".join(parts), *(f"bronze_{f}" for f in DECLARED))
+
+
+def declared_report(t: Retail, action: str | None = None) -> DataFrame:
+    """The declared rules of all four tables, counted on feeds with broken rows."""
+    reports = [
+        quality.expectation_report(
+            clean(t, broken_feed(t, feed)), [r for r in rules if action in (None, r.action)]
+        )
+        for feed, (rules, clean) in DECLARED.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query("expect_warn", _declared_sql("warn", lambda r, failed, n: f"SELECT '{r.name}' AS rule, {failed} AS failed"))
+def expect_warn(t: Retail):
+    return declared_report(t, "warn").select("rule", "failed")
 
 
 @query(
     "expectation_report",
-    with_layers(
-        " UNION ALL ".join(
-            _report_sql(rule, action, holds, "bronze_inventory")
-            for rule, action, holds in (
-                ("in_stock", "drop", IN_STOCK),
-                ("closed_period", "drop", CLOSED),
-                ("above_reorder", "warn", ABOVE),
-                ("recent", "warn", RECENT),
-            )
-        ),
-        "bronze_inventory",
+    _declared_sql(
+        None,
+        lambda r, failed, n: f"SELECT '{r.name}' AS rule, '{r.action}' AS action, {n} - {failed} AS passed, "
+        f"{failed} AS failed, {failed if r.action == 'drop' else '0::BIGINT'} AS dropped",
     ),
 )
 def expectation_report(t: Retail):
-    return quality.apply_expectations(t.bronze_inventory, STOCK_RULES).report
+    return declared_report(t)
 
 
 @query(

@@ -23,7 +23,7 @@ from shopgrain.operators.ranks import rank_distributed
 from shopgrain.plans import gold, silver
 from shopgrain.session import materialize, scratch_path
 from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
-from shopgrain.streaming.ingest import append_evolving
+from shopgrain.streaming.ingest import read_evolving
 
 # --- scans and simple sources ---------------------------------------------------------------
 
@@ -94,7 +94,10 @@ def schema_evolving_append(t: Retail):
     second = t.bronze_products.where(F.col("_ingested_at") > ntz(FIRST_LOAD_TS)).select(
         *columns, "supplier_id"
     )
-    return append_evolving(append_evolving(None, first), second)
+    table = scratch_path(t.spark, "evolving")
+    for batch in (first, second):
+        batch.write.mode("append").parquet(table)
+    return read_evolving(t.spark, table)
 
 
 # --- projections and filters ----------------------------------------------------------------

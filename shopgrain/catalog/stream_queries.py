@@ -18,7 +18,7 @@ from shopgrain.streaming.events import (
     retail_events,
     windowed_revenue,
 )
-from shopgrain.streaming.ingest import append_to, ingest_csv
+from shopgrain.streaming.ingest import AUDIT, append_to, ingest_csv, read_evolving
 from shopgrain.streaming.upsert import read_current, stream_upsert
 
 EVENT_COLUMNS = "event_id, customer_id, event_type, amount, region, event_time"
@@ -47,7 +47,7 @@ def ingest(t: Retail, feed: str, typed: bool = True, trigger: dict | None = None
         running.stop()
     running.awaitTermination()
     delete_path(t.spark, f"{base}/raw")
-    return t.spark.read.parquet(f"{base}/table")
+    return read_evolving(t.spark, f"{base}/table")
 
 
 def feed_sql(feed: str) -> str:
@@ -56,7 +56,7 @@ def feed_sql(feed: str) -> str:
 
 @query("ingest_csv_stream", layer("bronze_orders", RAW_ORDER_COLUMNS))
 def ingest_csv_stream(t: Retail):
-    return ingest(t, "orders").drop("_ingested_at", "_source_file")
+    return ingest(t, "orders").drop(*AUDIT)
 
 
 @query(
@@ -68,7 +68,7 @@ def ingest_csv_stream(t: Retail):
     ),
 )
 def ingest_csv_untyped(t: Retail):
-    return ingest(t, "customers", typed=False).drop("_ingested_at", "_source_file")
+    return ingest(t, "customers", typed=False).drop(*AUDIT)
 
 
 @query(
@@ -89,7 +89,7 @@ def ingest_audit_columns(t: Retail):
 @query("stream_trigger", feed_sql("products"))
 def stream_trigger(t: Retail):
     rows = ingest(t, "products", trigger={"processingTime": "1 second"})
-    return rows.drop("_ingested_at", "_source_file")
+    return rows.drop(*AUDIT)
 
 
 @query("stream_restart", feed_sql("customers"))
@@ -102,13 +102,13 @@ def stream_restart(t: Retail):
         ingest_csv(
             t.spark, f"{base}/raw", schema, f"{base}/table", f"{base}/checkpoint"
         ).awaitTermination()
-    return t.spark.read.parquet(f"{base}/table").drop("_ingested_at", "_source_file")
+    return read_evolving(t.spark, f"{base}/table").drop(*AUDIT)
 
 
 def event_stream(t: Retail) -> DataFrame:
-    # As a pattern, the path may be one file or a folder of files.
-    files = f"{t.folder}/events.parque[t]"
-    return retail_events(t.spark.readStream.schema(t.table("events").schema).parquet(files))
+    # A stream follows a folder; the name filter picks the table, be it one file or a folder.
+    rows = t.spark.readStream.schema(t.table("events").schema)
+    return retail_events(rows.parquet(f"{t.folder}/events.parque[t]"))
 
 
 def run(t: Retail, stream: DataFrame, label: str) -> str:

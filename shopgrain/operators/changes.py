@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopgrain.functions.columns import row_hash
+from shopgrain.session import materialize
 
 ROW_NUMBER = "__row_number"
 MATCHED = "__matched"
@@ -60,6 +61,8 @@ def upsert(
     changes = latest_per_key(source, keys, order or [])
     if target is None:
         return changes if insert else changes.limit(0)
+    # Read twice or more below, so the reduced batch is written once.
+    changes = materialize(changes, "change-batch")
     changed_keys = changes.select(*keys)
     parts = []
     if update_cols is not None:

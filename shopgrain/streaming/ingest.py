@@ -2,41 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
-
-from shopgrain.sources import schemas
+from pyspark.sql.types import StringType, StructField, StructType
 
 AVAILABLE_NOW = {"availableNow": True}
-
-
-def csv_stream(
-    spark: SparkSession,
-    src_dir: str,
-    schema: StructType,
-    source_file: bool = True,
-    max_files: int | None = None,
-) -> DataFrame:
-    """New CSV files of a folder as a stream, with ``_ingested_at`` and ``_source_file``.
-
-    ``max_files`` bounds a micro-batch, so a large backlog is worked off in several commits.
-    """
-    reader = spark.readStream.schema(schema).option("header", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    raw = reader.csv(src_dir)
-    # File metadata has to be read right at the scan, before any shuffle.
-    audit = {"_ingested_at": F.current_timestamp()}
-    if source_file:
-        audit["_source_file"] = F.col("_metadata.file_path")
-    return raw.withColumns(audit)
-
-
-def header_schema(spark: SparkSession, src_dir: str) -> StructType:
-    """All-string schema from the header line of the files already there."""
-    return schemas.all_strings(spark.read.option("header", True).csv(src_dir).columns)
+EXTRA, CORRUPT = "_extra_columns", "_corrupt_record"
+AUDIT = ["_ingested_at", "_source_file", EXTRA, CORRUPT]
 
 
 def append_to(
@@ -52,6 +28,61 @@ def append_to(
     )
 
 
+def _lines(reader, src_dir: str) -> DataFrame:
+    """Lines of text files with their file and the place of their split in it."""
+    return reader.format("text").load(src_dir).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+
+
+def _parsed(rows: DataFrame, header: str, schema: StructType | None) -> DataFrame:
+    """Rows of the files with one header: columns go by their name, not by their place."""
+    names = next(csv.reader([header]))
+    raw = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))] + [StructField("bad", StringType())])
+    fields = F.from_csv("value", raw.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+    rows = rows.where(F.col("header") == header).withColumn("__row", fields)
+    declared = schema or StructType([StructField(n, StringType()) for n in names])
+    place = {n: f"__row.c{i}" for i, n in enumerate(names)}
+    kept, broken = [], F.col("__row.bad").isNotNull()
+    for f in declared:
+        text = F.col(place[f.name]) if f.name in place else F.lit(None).cast("string")
+        kept.append(text.try_cast(f.dataType).alias(f.name))
+        broken = broken | (text.isNotNull() & text.try_cast(f.dataType).isNull())
+    known = {f.name for f in declared}
+    rest = [F.struct(F.lit(n).alias("k"), F.col(place[n]).alias("v")) for n in names if n not in known]
+    extra = F.map_from_entries(F.array(*rest)) if rest else F.lit(None)
+    return rows.select(
+        *kept,
+        F.current_timestamp().alias("_ingested_at"),
+        F.col("file").alias("_source_file"),
+        extra.cast("map<string, string>").alias(EXTRA),
+        F.when(broken, F.col("value")).alias(CORRUPT),
+    )
+
+
+def parse_by_name(lines: DataFrame, schema: StructType | None) -> DataFrame | None:
+    """Typed rows of CSV lines whose files may differ in the order and number of columns.
+
+    A file's header is the first line of its first split. Files with the same header are parsed together,
+    so there are as many plans as different headers. Columns beside the schema go to a map;
+    the line of a row with a value that can't be read, too many or too few values is kept.
+    Without a schema all columns are text, and the table has those of all headers.
+    """
+    numbered = lines.where(F.length("value") > 0).withColumn("line", F.monotonically_increasing_id())
+    heads = numbered.where("block = 0").groupBy("file").agg(
+        F.min_by("value", "line").alias("header"), F.min("line").alias("first")
+    )
+    headers = sorted(r.header for r in heads.select("header").distinct().collect())
+    rows = numbered.join(heads, "file").where("line <> first")
+    parts = [_parsed(rows, h, schema) for h in headers]
+    if not parts:
+        return None
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def ingest_csv(
     spark: SparkSession,
     src_dir: str,
@@ -59,13 +90,29 @@ def ingest_csv(
     sink_dir: str,
     checkpoint: str,
     trigger: dict | None = None,
-    source_file: bool = True,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Start ingesting a CSV folder; without a schema every column stays text."""
-    schema = schema or header_schema(spark, src_dir)
-    stream = csv_stream(spark, src_dir, schema, source_file, max_files)
-    return append_to(stream, sink_dir, checkpoint, trigger)
+    """Start ingesting a CSV folder, each file once, into a table that ``read_evolving`` reads.
+
+    Adds ``_ingested_at``, ``_source_file``, ``_extra_columns`` and ``_corrupt_record``.
+    ``max_files`` bounds a micro-batch. A batch that is delivered again replaces its own rows.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = parse_by_name(batch, schema)
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(f"{sink_dir}/batch={number}")
+
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return (
+        _lines(reader, src_dir)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
 
 
 def append_evolving(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -77,4 +124,4 @@ def append_evolving(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
 
 def read_evolving(spark: SparkSession, sink_dir: str) -> DataFrame:
     """Read a raw table whose files may differ in columns."""
-    return spark.read.option("mergeSchema", True).parquet(sink_dir)
+    return spark.read.option("mergeSchema", True).parquet(sink_dir).drop("batch")

@@ -75,7 +75,7 @@ def test_csv_restart_and_untyped(spark):
 
     def run(schema, sink):
         ingest_csv(spark, f"{base}/in", schema, f"{base}/{sink}", f"{base}/cp_{sink}").awaitTermination()
-        return spark.read.parquet(f"{base}/{sink}")
+        return read_evolving(spark, f"{base}/{sink}")
 
     add(people)
     typed = schemas.struct("customer_id string, name string, age int")
@@ -87,6 +87,33 @@ def test_csv_restart_and_untyped(spark):
     assert dict(run(None, "untyped").dtypes)["age"] == "string"
 
 
+def test_csv_columns_go_by_name_and_nothing_is_lost(spark):
+    base = scratch_path(spark, "csv")
+    schema = schemas.struct("id string, name string, age int")
+
+    def add(name, *lines):
+        rows = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+        rows.write.mode("append").text(f"{base}/in")
+
+    def run(kind, sink):
+        ingest_csv(spark, f"{base}/in", kind, f"{base}/{sink}", f"{base}/cp_{sink}").awaitTermination()
+        return read_evolving(spark, f"{base}/{sink}")
+
+    add("a", "id,name,age", "1,ann,30", '007,"b, c",41')
+    add("b", "name,id,age,vip", "bob,2,20,yes")
+    run(schema, "typed")
+    add("c", "id,age", "3,old", "4", "5,6,7")
+    got = {r.id: r for r in run(schema, "typed").collect()}
+    assert {k: (r.name, r.age) for k, r in got.items()} == {
+        "1": ("ann", 30), "007": ("b, c", 41), "2": ("bob", 20), "3": (None, None), "4": (None, None), "5": (None, 6),
+    }
+    assert got["2"]._extra_columns == {"vip": "yes"} and got["1"]._extra_columns is None
+    assert {k: r._corrupt_record for k, r in got.items() if r._corrupt_record} == {"3": "3,old", "4": "4", "5": "5,6,7"}
+    text = run(None, "text")
+    assert {"id", "name", "age", "vip"} <= set(text.columns) and text.count() == 6
+    assert {r.id: r.vip for r in text.collect()}["2"] == "yes"
+
+
 def test_evolving_columns(spark):
     base = scratch_path(spark, "evolving")
     spark.range(2).write.parquet(f"{base}/t")
