@@ -16,7 +16,7 @@ from shopgrain.sources.conform import Retail
 
 def total_series(t: Retail) -> DataFrame:
     """One series over all sales, gaps filled; small and read several times, so written once."""
-    series = forecast.daily_series(gold.daily_sales(t.order_profit), [])
+    series = forecast.daily_series(gold.daily_revenue(t.order_lines), [])
     return forecast.fill_days(materialize(series, "series"))
 
 
@@ -30,7 +30,7 @@ def total_series(t: Retail) -> DataFrame:
     ),
 )
 def forecast_daily_series(t: Retail):
-    return forecast.daily_series(gold.daily_sales(t.order_profit), ["region", "channel"])
+    return forecast.daily_series(gold.daily_revenue(t.order_lines), ["region", "channel"])
 
 
 @query("forecast_train_test_split", with_layers("SELECT * FROM daily_split", "daily_split"))
@@ -123,7 +123,7 @@ def forecast_evaluate(t: Retail):
 @query("forecast_fit_predict")
 def forecast_fit_predict(t: Retail):
     """90 days ahead for every (region, channel) series."""
-    series = forecast.daily_series(gold.daily_sales(t.order_profit), ["region", "channel"])
+    series = forecast.daily_series(gold.daily_revenue(t.order_lines), ["region", "channel"])
     train, _ = forecast.split(forecast.fill_days(materialize(series, "series")))
     return forecast.fit_predict(train)
 

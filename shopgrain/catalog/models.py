@@ -168,17 +168,17 @@ def fact_orders(t: Retail):
 
 @query("gold_daily_sales", layer("gold_daily_sales"))
 def gold_daily_sales(t: Retail):
-    return gold.daily_sales(t.order_profit)
+    return gold.daily_sales(t.order_profit, orders_unique=True)
 
 
 @query("gold_product_performance", layer("gold_product_performance"))
 def gold_product_performance(t: Retail):
-    return gold.product_performance(t.order_profit, t.dim_product)
+    return gold.product_performance(t.order_profit, t.dim_product, orders_unique=True)
 
 
 @query("gold_customer_rfm", layer("gold_customer_rfm"))
 def gold_customer_rfm(t: Retail):
-    return gold.customer_rfm(t.order_lines, t.dim_customer, t.as_of)
+    return gold.customer_rfm(t.order_lines, t.dim_customer, t.as_of, orders_unique=True)
 
 
 @query("gold_inventory_health", layer("gold_inventory_health"))

@@ -17,6 +17,15 @@ PERIOD = "period"
 REPORTED = "__reported"
 
 
+@dataclass(frozen=True)
+class Entity:
+    """A key of the fact. ``primary``: one row per value; ``id_column`` counts the same things."""
+
+    expr: str
+    kind: Literal["primary", "foreign"] = "foreign"
+    id_column: str | None = None
+
+
 @dataclass(frozen=True)
 class Measure:
     name: str
@@ -25,12 +34,12 @@ class Measure:
     #: Decimals that sums and averages keep of each value.
     scale: int = SUM_SCALE
 
-    def aggregate(self, where: str | None) -> Column:
+    def aggregate(self, where: str | None, unique: bool = False) -> Column:
         value = F.expr(self.expr)
         if where:
             value = F.when(F.expr(where), value)
         if self.agg == "count_distinct":
-            return F.count_distinct(value)
+            return F.count(value) if unique else F.count_distinct(value)
         if self.agg == "sum":
             return money_sum(value, self.scale).cast("double")
         return mean_money(value, self.scale)
@@ -61,7 +70,7 @@ class Metric:
 class MetricModel:
     time_dimension: str
     dimensions: tuple[str, ...]
-    entities: dict[str, str]
+    entities: dict[str, Entity]
     measures: tuple[Measure, ...]
     metrics: tuple[Metric, ...] = field(default=())
 
@@ -79,6 +88,17 @@ class MetricModel:
                 return m
         raise KeyError(f"no metric or measure named {name!r}")
 
+    def counts_primary(self, measure: Measure) -> bool:
+        """Whether the measure counts the primary entity, of which each fact row has its own."""
+        ids = [x for e in self.entities.values() if e.kind == "primary" for x in (e.expr, e.id_column)]
+        return measure.agg == "count_distinct" and measure.expr in ids
+
+    def repeated_primary(self, fact: DataFrame) -> DataFrame:
+        """Values of the primary entity on more than one row of the fact; none, if it is one."""
+        keys = [F.expr(e.expr).alias("entity") for e in self.entities.values() if e.kind == "primary"]
+        rows = fact.select(*keys).where("entity IS NOT NULL")
+        return rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
+
     def is_measure(self, name: str) -> bool:
         return any(m.name == name for m in self.measures)
 
@@ -87,14 +107,17 @@ def _both(a: str | None, b: str | None) -> str | None:
     return f"({a}) AND ({b})" if a and b else a or b
 
 
-def _plain(model: MetricModel, item: Input) -> Column | None:
+def _plain(model: MetricModel, item: Input, unique: bool) -> Column | None:
     """The input as one aggregate column, or None when it needs a derived metric."""
     if model.is_measure(item.name):
-        return model.measure(item.name).aggregate(item.where)
+        measure = model.measure(item.name)
+        return measure.aggregate(item.where, unique and model.counts_primary(measure))
     metric = model.metric(item.name)
     if metric.kind == "derived":
         return None
-    inputs = [_plain(model, Input(i.name, where=_both(i.where, item.where))) for i in metric.inputs]
+    inputs = [
+        _plain(model, Input(i.name, where=_both(i.where, item.where)), unique) for i in metric.inputs
+    ]
     if any(c is None for c in inputs):
         return None
     return inputs[0] if metric.kind == "simple" else ratio(inputs[0], inputs[1])
@@ -109,6 +132,7 @@ def query_metrics(
     where: str | None = None,
     start: dt.date | None = None,
     end: dt.date | None = None,
+    primary_unique: bool = False,
 ) -> DataFrame:
     """Metrics per (period, dimensions); ``start`` and ``end`` bound the reported days, end excluded.
 
@@ -116,6 +140,9 @@ def query_metrics(
     of an earlier month is aggregated over the days moved back by its offset, and the small
     per-period result is then moved forward to the period it is compared with: a missing month
     gives null rather than the month before it.
+
+    ``primary_unique``: the caller's table keeps one row per primary entity, as a merge by its key
+    does and ``repeated_primary`` checks; its distinct count is then a plain count.
     """
     for name in group_by:
         if name not in model.dimensions and name not in model.entities:
@@ -132,7 +159,9 @@ def query_metrics(
     in_range = {o: _day_range(day, start, end, o) for o in offsets}
     if all(in_range.values()):
         rows = rows.where(" OR ".join(f"({r})" for r in in_range.values()))
-    grouping = [F.expr(model.entities.get(g, g)).alias(g) for g in group_by]
+    grouping = [
+        F.expr(model.entities[g].expr if g in model.entities else g).alias(g) for g in group_by
+    ]
     if grain:
         grouping.insert(0, F.to_date(F.date_trunc(grain, F.col(day))).alias(PERIOD))
 
@@ -141,7 +170,7 @@ def query_metrics(
     def add(name: str, item: Input) -> None:
         # One offset: the row filter above has done the day range already.
         days = in_range[item.offset_months] if len(offsets) > 1 else None
-        column = _plain(model, Input(item.name, where=_both(item.where, days)))
+        column = _plain(model, Input(item.name, where=_both(item.where, days)), primary_unique)
         if column is None:
             raise ValueError(f"{item.name} is itself derived")
         columns[item.offset_months][name] = column
@@ -207,7 +236,11 @@ def _align(totals: DataFrame, keys: list[str], columns: dict[int, list[str]]) ->
 ORDER_MODEL = MetricModel(
     time_dimension="order_date",
     dimensions=("region", "channel", "status", "discount_tier"),
-    entities={"order": "order_key", "customer": "customer_id", "product": "product_id"},
+    entities={
+        "order": Entity("order_key", "primary", id_column="order_id"),
+        "customer": Entity("customer_id"),
+        "product": Entity("product_id"),
+    },
     measures=(
         Measure("revenue", "sum", "net_amount"),
         Measure("gross_revenue", "sum", "gross_amount"),

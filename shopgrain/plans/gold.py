@@ -35,7 +35,7 @@ def _sums() -> list[Column]:
     ]
 
 
-def _money_total(total: str) -> Column:
+def _money_total(total: Column | str) -> Column:
     return F.round(total, 2).cast("double")
 
 
@@ -82,6 +82,13 @@ def daily_sales(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     )
 
 
+def daily_revenue(orders: DataFrame) -> DataFrame:
+    """Revenue per (day, region, channel) as in ``daily_sales``, without its other measures."""
+    return orders.groupBy("order_date", "region", "channel").agg(
+        _money_total(money_sum("net_amount")).alias("total_revenue")
+    )
+
+
 def product_totals(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """One row per product id, before any product attribute is looked up."""
     return fact.groupBy("product_id").agg(*_sums(), _orders(orders_unique).alias("total_orders"))

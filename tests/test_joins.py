@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from shopgrain.operators.joins import hot_keys, lookup_join
+from shopgrain.sources.conform import as_text
 
 
 def skewed(spark, n=3000):
@@ -42,3 +43,17 @@ def test_salt_spreads_the_hot_key(spark):
     finally:
         spark.conf.unset(coalesce)
     assert len(sizes) > 2 and max(r["count"] for r in sizes) < 600
+
+
+def test_null_hot_key_stays_null_and_is_spread(spark):
+    assert as_text([7, None]) == ["7", None]
+    left = skewed(spark).withColumn("k", F.col("k").cast("string"))
+    right = lookup(spark).withColumn("k", F.col("k").cast("string"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(left, right, "k", "left", as_text([7, None]))
+        parts = joined.where("k IS NULL").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert joined.count() == left.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert parts >= 1

@@ -71,3 +71,14 @@ def test_entities_and_errors(fact):
     with pytest.raises(ValueError):
         query_metrics(ORDER_MODEL, fact, ["revenue_mom_growth"])
     assert query_metrics(ORDER_MODEL, fact, ["total_orders"]).first().total_orders == 6
+
+
+def test_primary_entity_is_counted_without_distinct(fact):
+    keyed = fact.withColumn("order_key", fact.order_id)
+    asked = dict(metrics=["total_orders", "return_rate"], group_by=["region"])
+    plain = query_metrics(ORDER_MODEL, keyed, **asked)
+    quick = query_metrics(ORDER_MODEL, keyed, primary_unique=True, **asked)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, quick.collect()))
+    assert "Expand" not in quick._jdf.queryExecution().optimizedPlan().toString()
+    assert ORDER_MODEL.repeated_primary(keyed).count() == 0
+    assert ORDER_MODEL.repeated_primary(keyed.union(keyed)).count() == 6
