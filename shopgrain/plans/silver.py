@@ -14,7 +14,8 @@ from shopgrain.functions.labels import age_band, discount_tier
 from shopgrain.operators.changes import latest_per_key
 from shopgrain.operators.quality import Rule
 
-# Fixed value: share of the gross amount taken as cost where no product cost is known.
+# Fixed values, as the tables' users know them: the assumed share of cost in the gross amount where no
+# product cost is known, and the names and conditions of the rules.
 ASSUMED_COST_SHARE = 0.6
 
 ORDER_RULES = (
