@@ -17,7 +17,7 @@ from shopgrain.session import delete_path, materialize, scratch_path
 LENGTH = 200
 #: Bytes of the anchor string; the longer, the fewer anchors are shared by chance, but the more there are.
 GRAM = 48
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Different surroundings of one anchor that a task sorts together; larger groups go by window digests.
 MAX_GROUP = 4096
 #: Surroundings sorted at a time.
@@ -333,7 +333,7 @@ def repeated_spans(
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in shards(batches, SHARD_BYTES, "z"):
             for z, wanted in zip(b.column(0), b.column(1)):
                 text = unzip.decompress(z.as_py())
                 rows = wanted.as_py()
@@ -364,12 +364,18 @@ def repeated_spans(
     if not copies.where(F.col("kinds") > max_group).isEmpty():
         found = small.unionByName(_by_digest(pieces.where(F.col("kinds") > max_group), length))
     found = materialize(found, "repeated-ranges")
-    starts = F.shiftright(F.col("nd"), 16)
-    whole = F.array(F.struct(F.lit(0).alias("low"), starts.alias("high")))
+    # One table of what repeats, so that one plain join, which can split hot segments, tells all copies.
+    whole = F.array(F.struct(F.lit(0).alias("low"), F.shiftright(F.col("one.nd"), 16).alias("high")))
+    repeats = materialize(
+        copies.join(found, ["a", "s", "s2"], "left")
+        .select("a", "s", "s2", F.when(F.col("n") > 1, whole).otherwise(F.col("ranges")).alias("ranges"))
+        .where("ranges IS NOT NULL"),
+        "repeats",
+    )
     return (
-        shared.join(copies.select("a", "s", "s2", "n"), ["a", "s", "s2"])
-        .join(found, ["a", "s", "s2"], "left")
-        .select("id", "th", "o", F.explode(F.when(F.col("n") > 1, whole).otherwise(F.col("ranges"))).alias("r"))
+        shared.select("a", "s", "s2", "o", "id", "th")
+        .join(repeats, ["a", "s", "s2"])
+        .select("id", "th", "o", F.explode("ranges").alias("r"))
         .groupBy("id", "th")
         .agg(
             F.collect_list(
@@ -388,7 +394,7 @@ def zipped(docs: DataFrame) -> DataFrame:
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeezer = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in shards(batches, 4 * SHARD_BYTES):
             z = [squeezer.compress(t.as_py()) for t in b.column(1).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(z, pa.binary())], names=["id", "th", "z"]
@@ -422,7 +428,7 @@ def remove_repeats(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in shards(batches, SHARD_BYTES, "z"):
             size, runs, kept = [], [], []
             for z, found in zip(b.column(1), b.column(2)):
                 text = unzip.decompress(z.as_py())
