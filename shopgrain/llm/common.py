@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,8 @@ def shards(
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, offsets = flat(batch.column(batch.schema.get_field_index(column)))
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0)
+        offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)])
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1

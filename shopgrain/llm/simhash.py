@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.common import text_of
+from shopgrain.llm.common import shards, text_of
 from shopgrain.llm.components import components
 from shopgrain.session import materialize
 
@@ -19,6 +19,8 @@ BITS = 64
 CHUNK = 65_536
 MAX_BUCKET = 1024
 FLUSH = 1_000_000
+#: Bytes of text that a worker looks at together.
+SLICE_BYTES = 4 << 20
 
 
 def fingerprint(text: bytes, words_per_shingle: int = 3, seed: int = 42) -> int:
@@ -47,7 +49,7 @@ def fingerprints(
     """``id``, ``fp`` (64 bits as a long) and ``th`` (a hash of the text) for every row."""
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in shards(batches, SLICE_BYTES):
             texts = b.column(1).cast(pa.large_binary())
             fps = [fingerprint(t.as_py(), words, seed) for t in texts]
             yield pa.RecordBatch.from_arrays(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.llm.common import text_of
+from shopgrain.llm.common import shards, text_of
 
 SYMBOLS = 32
 ORDER = 4
@@ -21,6 +21,8 @@ LENGTH_PRIOR, LENGTH_POWER = 200, 0.8
 #: Rows on which the two calibration numbers are fitted, at most.
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
+#: Bytes of text that a worker looks at together.
+SLICE_BYTES = 2 << 20
 
 
 def _symbols() -> np.ndarray:
@@ -135,7 +137,7 @@ def train(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, cells), np.int64)
-        for b in batches:
+        for b in shards(batches, SLICE_BYTES):
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary())):
                 keys, n = np.unique(expressions(text.as_py()), return_counts=True)
                 counts[1 if toxic else 0, keys] += n
@@ -167,7 +169,7 @@ def train(
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(held.value)
-        for b in batches:
+        for b in shards(batches, SLICE_BYTES):
             x = [known.evidence(t.as_py()) for t in b.column(2).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:2], pa.array(x, pa.float64())], names=["fold", "toxic", "x"]
@@ -195,7 +197,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(table.value, slope, offset)
-        for b in batches:
+        for b in shards(batches, SLICE_BYTES, text_col):
             texts = b.column(place).cast(pa.large_binary())
             x = [known.score(t.as_py() or b"") for t in texts]
             yield pa.RecordBatch.from_arrays(
