@@ -170,17 +170,16 @@ def train(
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(held.value)
         for b in shards(batches, SLICE_BYTES):
-            x = [known.evidence(t.as_py()) for t in b.column(2).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:2], pa.array(x, pa.float64())], names=["fold", "toxic", "x"]
-            )
+            x = [known.evidence(t.as_py()) for t in b.column(1).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64())], names=["toxic", "x"])
 
+    # At most CALIBRATION_ROWS ids, small enough to broadcast: their texts need not move.
+    picked = marks.where(calibrates).orderBy("__fold", "__id").limit(CALIBRATION_ROWS)
     sample = (
-        rows.where(calibrates)
-        .select("__fold", "toxic", "text")
-        .mapInArrow(evidence, "fold long, toxic int, x double")
-        .orderBy("fold", "toxic", "x")
-        .limit(CALIBRATION_ROWS)
+        docs.select(F.col(id_col).alias("__id"), text_of().alias("text"))
+        .join(F.broadcast(picked), "__id")
+        .select("toxic", "text")
+        .mapInArrow(evidence, "toxic int, x double")
         .toArrow()
     )
     slope, offset = fit_logistic(
