@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.llm.chat import format_chat, read_back, row_turns, under_loss
 from shopgrain.llm.common import read
-from shopgrain.llm.decontam import contamination
+from shopgrain.llm.decontam import WINDOW, contamination
 from shopgrain.llm.exact_dedup import exact_dedup
 from shopgrain.llm.html_text import extract
 from shopgrain.llm.packing import pack
@@ -18,7 +18,7 @@ from shopgrain.llm.secret_scan import scan
 from shopgrain.llm.simhash import simhash_groups
 from shopgrain.llm.suffix_dedup import remove_repeats
 from shopgrain.llm.toxicity import THRESHOLD, fold, score, train
-from shopgrain.llm.urls import judge
+from shopgrain.llm.urls import DAMPING, LINK, LOWER, MARGIN, ROUNDS, UPPER, URL, judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,7 @@ FROM t GROUP BY conv_id
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, read(spark, sf_dir, "benchmark"))
+    place = lambda h: F.concat_ws(":", h["item"], h["word"].cast("string"), h["words"].cast("string"))
     return found.select(
         "doc_id",
         F.col("__found.n_words").alias("n_words"),
@@ -98,10 +99,40 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("__found.items", ","), 256).alias("items_sha256"),
         (F.col("__found.n_hit") > 0).alias("contaminated"),
         F.col("__found.longest").alias("longest_match"),
-        F.col("__found.hits").alias("locations"),
+        F.array_join(F.transform("__found.hits", place), ",").alias("locations"),
     )
 
 
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP4_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT row_number() OVER () AS item, coalesce(CAST(item_id AS VARCHAR), '') AS id, {_WORDS} AS w
+  FROM benchmark),
+sized AS (SELECT *, least(len(w), {WINDOW}) AS size FROM items WHERE len(w) > 0),
+tests AS (SELECT item, id, size, j, array_to_string(w[j + 1 : j + size], ' ') AS gram
+  FROM (SELECT *, unnest(range(len(w) - size + 1)) AS j FROM sized)),
+windows AS (SELECT row, size, i, array_to_string(w[i + 1 : i + size], ' ') AS gram
+  FROM (SELECT *, unnest(range(len(w) - size + 1)) AS i
+    FROM docs, (SELECT DISTINCT size FROM sized) WHERE len(w) >= size)),
+found AS (SELECT row, item, id, size, i, j FROM windows JOIN tests USING (size, gram)),
+runs AS (SELECT *, i - row_number() OVER (PARTITION BY row, item, i - j ORDER BY i) AS run FROM found),
+longest AS (SELECT row, id, i, size, size + max(i) OVER (PARTITION BY row, item, i - j, run) - i AS n FROM runs),
+hits AS (SELECT row, id, i, max(n) AS n FROM longest GROUP BY ALL),
+told AS (SELECT row, max(n) AS longest,
+    string_agg(concat_ws(':', id, CAST(i AS VARCHAR), CAST(n AS VARCHAR)), ',' ORDER BY id, i) AS locations
+  FROM hits GROUP BY row),
+named AS (SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT row, id FROM found) GROUP BY row),
+covered AS (SELECT row, count(DISTINCT word) AS n
+  FROM (SELECT row, unnest(range(i, i + size)) AS word FROM found) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated,
+  CAST(coalesce(longest, 0) AS BIGINT) AS longest_match, coalesce(locations, '') AS locations
+FROM docs LEFT JOIN told USING (row) LEFT JOIN named USING (row) LEFT JOIN covered USING (row)
+"""
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(read(spark, sf_dir, "documents"))
     return found.select(
@@ -165,7 +196,52 @@ RULES = [
 
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
-    return judge(read(spark, sf_dir, "pages"), rules)
+    judged = judge(read(spark, sf_dir, "pages"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _rounds() -> str:
+    """One table a round: what links pass on and what the seeds have."""
+    return ",\n".join(
+        f"""score{i} AS (SELECT kind, host, sum(score) AS score FROM (
+  SELECT e.kind, e.dst AS host, {DAMPING} * s.score * e.w AS score
+  FROM score{i - 1} s JOIN edges e ON s.kind = e.kind AND s.host = e.src
+  UNION ALL SELECT * FROM score0) GROUP BY ALL)"""
+        for i in range(1, ROUNDS + 1)
+    )
+
+
+OP10_SQL = f"""
+WITH placed AS (SELECT page_id, html,
+    translate(coalesce(regexp_extract(url, {_quoted(URL)}, 1), ''), '{UPPER}', '{LOWER}') AS host,
+    coalesce(regexp_extract(url, {_quoted(URL)}, 2), '') AS path FROM pages),
+rules(above, start, said) AS (VALUES {", ".join(map(str, RULES))}),
+best AS (SELECT host, path, above || start AS rule, said
+  FROM (SELECT DISTINCT host, path FROM placed) JOIN rules
+  ON (host = above OR ends_with(host, '.' || above)) AND starts_with(path, start)
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, rule DESC) = 1),
+ruled AS (SELECT page_id, host, path, rule, said FROM placed LEFT JOIN best USING (host, path)),
+links AS (SELECT host AS src, dst, count(*) AS n
+  FROM (SELECT host, translate(unnest(regexp_extract_all(html, {_quoted(LINK)}, 1)), '{UPPER}', '{LOWER}') AS dst
+    FROM placed WHERE host <> '') WHERE host <> dst GROUP BY ALL),
+ways AS (SELECT 'trust' AS kind, src, dst, n FROM links UNION ALL SELECT 'distrust', dst, src, n FROM links),
+edges AS (SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS w FROM ways),
+seeds AS (SELECT host, avg((said IS NOT DISTINCT FROM 'allow')::INT) AS good,
+    avg((said IS NOT DISTINCT FROM 'block')::INT) AS bad FROM ruled WHERE host <> '' GROUP BY host),
+score0 AS (SELECT kind, host, {1 - DAMPING} * share AS score
+  FROM (SELECT 'trust' AS kind, host, good AS share FROM seeds UNION ALL SELECT 'distrust', host, bad FROM seeds)
+  WHERE share > 0),
+{_rounds()},
+judged AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS trust,
+    coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust FROM score{ROUNDS} GROUP BY host)
+SELECT page_id, host, path, rule,
+  coalesce(said, CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0) > {MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN judged USING (host)
+"""
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,4 +266,9 @@ QUERIES: dict[str, Query] = {
         pipeline,
     )
 }
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_chat": OP3_SQL}
+SQL: dict[str, str] = {
+    "op2_exact_dedup": OP2_SQL,
+    "op3_chat": OP3_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op10_urls": OP10_SQL,
+}

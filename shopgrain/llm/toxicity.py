@@ -18,7 +18,7 @@ DISCOUNT = 0.75
 #: Long texts dilute a few rude words, short ones vary by chance: log-likelihoods are divided by
 #: (length + LENGTH_PRIOR) ** LENGTH_POWER.
 LENGTH_PRIOR, LENGTH_POWER = 200, 0.8
-#: Rows on which the two calibration numbers are fitted, at most.
+#: Rows on which the two calibration numbers are fitted, at most, unless told otherwise.
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
 #: Bytes of text that a worker looks at together.
@@ -109,13 +109,18 @@ class Model:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic"
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    label_col: str = "toxic",
+    calibration_rows: int = CALIBRATION_ROWS,
 ) -> Model:
     """Count expressions of all rows that may be learned from, a fifth of them kept for calibration.
 
     Rows with crc32(id) mod 3 = 1 are never learned from. The counts come from every other labelled
     row; they fit in SYMBOLS ** ORDER cells a class whatever the corpus, which bounds what the
-    driver gets and what is broadcast. Labels that repeat an id count as toxic if any does. With
+    driver gets and what is broadcast. The logistic curve from evidence to score, two numbers, is
+    fitted on at most ``calibration_rows`` rows, those with the least hashes. Labels that repeat an id count as toxic if any does. With
     no toxic or no ordinary rows to learn from, all scores are 0.
     """
     spark = docs.sparkSession
@@ -173,8 +178,8 @@ def train(
             x = [known.evidence(t.as_py()) for t in b.column(1).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64())], names=["toxic", "x"])
 
-    # At most CALIBRATION_ROWS ids, small enough to broadcast: their texts need not move.
-    picked = marks.where(calibrates).orderBy("__fold", "__id").limit(CALIBRATION_ROWS)
+    # At most calibration_rows ids, small enough to broadcast: their texts need not move.
+    picked = marks.where(calibrates).orderBy("__fold", "__id").limit(calibration_rows)
     sample = (
         docs.select(F.col(id_col).alias("__id"), text_of().alias("text"))
         .join(F.broadcast(picked), "__id")
