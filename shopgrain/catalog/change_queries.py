@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.catalog.reference_sql import BATCH_TS, LOADS, with_layers
 from shopgrain.catalog.registry import query
 from shopgrain.operators import changes
-from shopgrain.operators.changes import cdc_tag, sample_by_key
-from shopgrain.plans import silver
+from shopgrain.operators.changes import cdc_tag
+from shopgrain.plans import silver, star
 from shopgrain.plans.daily import snapshot
 from shopgrain.plans.declared import SNAPSHOT_CHECKS
-from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
+from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, as_text, ntz
 
 CDC_TS = "2001-08-03 00:00:00"
 CDC_SQL_TS = f"TIMESTAMP '{CDC_TS}'"
-UPDATED = "substr(md5(order_id), 1, 8) < '028f5c28'"
-INSERTED = "substr(md5('n' || order_id), 1, 8) < '010624dd'"
+#: The last day that the earlier image of the orders knows about.
+KNOWN_UNTIL = dt.date(2001, 4, 30)
+#: Placed after that day; or shipped after it, so that the earlier image has no shipping time yet.
+NEW = f"coalesce(CAST(order_date AS DATE) > DATE '{KNOWN_UNTIL}', FALSE)"
+SHIPPED = f"coalesce(CAST(order_date AS DATE) + ship_days > DATE '{KNOWN_UNTIL}', FALSE) AND NOT {NEW}"
 
 
 @query(
@@ -33,34 +38,40 @@ def incremental_high_water(t: Retail):
     return changes.new_rows(t.bronze_orders, loaded, "_ingested_at").select("order_id", "_ingested_at")
 
 
-def order_updates(t: Retail) -> DataFrame:
-    """About 1 % of the orders come back as returned."""
-    rows = sample_by_key(t.bronze_orders, "order_id", 0.01)
-    return cdc_tag(rows.withColumn("status", F.lit("Returned")), "UPDATE", ntz(CDC_TS))
+def placed_later() -> Column:
+    return F.coalesce(F.to_date("order_date") > F.lit(KNOWN_UNTIL), F.lit(False))
 
 
-def order_inserts(t: Retail) -> DataFrame:
-    """About 0.4 % new orders, modelled on existing ones."""
-    rows = sample_by_key(t.bronze_orders, "order_id", 0.004, seed="n").withColumns(
-        {
-            "order_id": F.concat(F.lit("NEW_"), "order_id"),
-            "order_date": F.lit("2024-09-01"),
-        }
-    )
-    return cdc_tag(rows, "INSERT", ntz(CDC_TS))
+def shipped_later() -> Column:
+    shipped = F.date_add(F.to_date("order_date"), F.col("ship_days"))
+    return F.coalesce(shipped > F.lit(KNOWN_UNTIL), F.lit(False)) & ~placed_later()
 
 
-def cdc_batch(t: Retail) -> DataFrame:
-    return order_updates(t).unionByName(order_inserts(t))
+def known_orders(t: Retail) -> DataFrame:
+    """The cleaned orders as they were at the end of ``KNOWN_UNTIL``."""
+    bronze = t.bronze_orders.where(~placed_later())
+    not_yet = F.when(~shipped_later(), F.col("ship_days"))
+    return silver.silver_orders(bronze.withColumn("ship_days", not_yet), t.batch_ts)
+
 
+KNOWN = f"""SELECT * REPLACE (CASE WHEN NOT ({SHIPPED}) THEN ship_days END AS ship_days)
+    FROM silver_orders WHERE NOT {NEW}"""
 
-CDC_CTE = f"""SELECT * REPLACE ('Returned' AS status), 'UPDATE' AS _cdc_operation,
-    {CDC_SQL_TS} AS _cdc_timestamp FROM bronze_orders WHERE {UPDATED}
-  UNION ALL SELECT * REPLACE ('NEW_' || order_id AS order_id, '2024-09-01' AS order_date),
-    'INSERT', {CDC_SQL_TS} FROM bronze_orders WHERE {INSERTED}"""
+
+def cdc_batch(t: Retail) -> DataFrame:
+    """Order lines shipped since as updates, lines placed since as inserts."""
+    shipped = cdc_tag(t.bronze_orders.where(shipped_later()), "UPDATE", ntz(CDC_TS))
+    return shipped.unionByName(cdc_tag(t.bronze_orders.where(placed_later()), "INSERT", ntz(CDC_TS)))
 
 
-@query("cdc_batch_tagging", with_layers(CDC_CTE, "bronze_orders"))
+@query(
+    "cdc_batch_tagging",
+    with_layers(
+        f"""SELECT *, CASE WHEN {NEW} THEN 'INSERT' ELSE 'UPDATE' END AS _cdc_operation,
+          {CDC_SQL_TS} AS _cdc_timestamp FROM bronze_orders WHERE ({SHIPPED}) OR {NEW}""",
+        "bronze_orders",
+    ),
+)
 def cdc_batch_tagging(t: Retail):
     return cdc_batch(t)
 
@@ -70,14 +81,10 @@ def conformed_batch(t: Retail) -> DataFrame:
     return silver.silver_orders(cdc_batch(t), ntz(CDC_TS))
 
 
-CONFORMED = f"""SELECT * REPLACE ('Returned' AS status, {CDC_SQL_TS} AS _updated_at)
-    FROM silver_orders WHERE {UPDATED}
-  UNION ALL SELECT * REPLACE ('NEW_' || order_id AS order_id, DATE '2024-09-01' AS order_date,
-    2024 AS order_year, 9 AS order_month, '2024-09' AS order_month_key, 1 AS day_of_week,
-    {CDC_SQL_TS} AS _updated_at) FROM silver_orders WHERE {INSERTED}"""
+CHANGED = f"SELECT * REPLACE ({CDC_SQL_TS} AS _updated_at) FROM silver_orders WHERE ({SHIPPED}) OR {NEW}"
 
 
-@query("cdc_conform", with_layers(CONFORMED, "silver_orders"))
+@query("cdc_conform", with_layers(CHANGED, "silver_orders"))
 def cdc_conform(t: Retail):
     return conformed_batch(t)
 
@@ -85,58 +92,70 @@ def cdc_conform(t: Retail):
 @query(
     "merge_upsert",
     with_layers(
-        f"SELECT * FROM silver_orders WHERE NOT ({UPDATED}) UNION ALL {CONFORMED}", "silver_orders"
+        f"{CHANGED} UNION ALL SELECT * FROM silver_orders WHERE NOT (({SHIPPED}) OR {NEW})",
+        "silver_orders",
     ),
 )
 def merge_upsert(t: Retail):
     return changes.upsert(
-        t.silver_orders, conformed_batch(t), ["order_id"], order=[F.desc("_ingested_at")]
+        known_orders(t), conformed_batch(t), ["order_id"], order=[F.desc("_ingested_at")]
     )
 
 
 @query(
     "merge_update_columns",
-    with_layers(
-        f"""SELECT * REPLACE (CASE WHEN {UPDATED} THEN 'Returned' ELSE status END AS status)
-        FROM silver_orders""",
-        "silver_orders",
-    ),
+    with_layers(f"SELECT * FROM silver_orders WHERE NOT {NEW}", "silver_orders"),
 )
 def merge_update_columns(t: Retail):
-    source = order_updates(t).select("order_id", "status")
-    return changes.update_columns(t.silver_orders, source, ["order_id"], ["status"])
+    source = t.bronze_orders.where(shipped_later()).select("order_id", "ship_days")
+    return changes.update_columns(known_orders(t), source, ["order_id"], ["ship_days"])
+
+
+CANCELLED = "status = 'Cancelled'"
 
 
 @query(
     "soft_delete",
     with_layers(
-        f"""SELECT * REPLACE ({UPDATED} AS is_deleted,
-          CASE WHEN {UPDATED} THEN {CDC_SQL_TS} ELSE {BATCH_TS} END AS _updated_at) FROM silver_orders""",
+        f"""SELECT * REPLACE (coalesce({CANCELLED}, FALSE) AS is_deleted,
+          CASE WHEN {CANCELLED} THEN {CDC_SQL_TS} ELSE {BATCH_TS} END AS _updated_at) FROM silver_orders""",
         "silver_orders",
     ),
 )
 def soft_delete(t: Retail):
-    doomed = sample_by_key(t.bronze_orders.select("order_id"), "order_id", 0.01)
+    """Orders cancelled by the customer are flagged, not removed."""
+    doomed = t.bronze_orders.where(CANCELLED).select("order_id")
     return changes.soft_delete(t.silver_orders, doomed, ["order_id"], ntz(CDC_TS))
 
 
-SAMPLED_PRODUCT = "substr(md5(product_id), 1, 8) < '80000000'"
+@query(
+    "fact_orders_after_delete",
+    with_layers(f"SELECT * FROM fact_orders WHERE {CANCELLED} IS NOT TRUE", "fact_orders"),
+)
+def fact_orders_after_delete(t: Retail):
+    """A soft delete reaches the fact: flagged orders are no longer in it."""
+    return star.fact_orders(
+        soft_delete(t),
+        t.dim_customer,
+        t.dim_product,
+        hot_customers=as_text(t.hot_customers),
+        hot_products=as_text(t.hot_products),
+    )
 
 
 @query(
     "merge_delete_unmatched",
     with_layers(
-        f"""SELECT * REPLACE (retail_price + 1 AS retail_price) FROM silver_products
-        WHERE {SAMPLED_PRODUCT}""",
+        f"""SELECT * REPLACE ({CDC_SQL_TS} AS _updated_at) FROM silver_products
+        WHERE _ingested_at = {LOADS[1]}""",
         "silver_products",
     ),
 )
 def merge_delete_unmatched(t: Retail):
-    target = t.silver_products
-    source = sample_by_key(target, "product_id", 0.5).withColumn(
-        "retail_price", F.col("retail_price") + 1
-    )
-    return changes.upsert(target, source, ["product_id"], delete_unmatched=True)
+    """The second load taken as the whole catalogue: products missing from it go."""
+    second = t.bronze_products.where(F.col("_ingested_at") > ntz(FIRST_LOAD_TS))
+    source = silver.silver_products(second, ntz(CDC_TS))
+    return changes.upsert(t.silver_products, source, ["product_id"], delete_unmatched=True)
 
 
 MOVED = "substr(md5('m' || customer_id), 1, 8) < '1999999a'"

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopgrain.catalog.change_queries import CANCELLED, soft_delete
 from shopgrain.catalog.reference_sql import AS_OF, layer, mean, money, ratio, rnd, total, with_layers
 from shopgrain.catalog.registry import query
 from shopgrain.functions import money_sum, email_mask, ratio as safe_ratio, rounded, surrogate_key
@@ -168,10 +169,10 @@ def filter_positive_measures(t: Retail):
 
 @query(
     "filter_soft_deleted",
-    with_layers("SELECT order_id FROM silver_orders WHERE is_deleted = FALSE", "silver_orders"),
+    with_layers(f"SELECT order_id FROM silver_orders WHERE {CANCELLED} IS NOT TRUE", "silver_orders"),
 )
 def filter_soft_deleted(t: Retail):
-    return t.silver_orders.where(~F.col("is_deleted")).select("order_id")
+    return soft_delete(t).where(~F.col("is_deleted")).select("order_id")
 
 
 @query("filter_equality", "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")
