@@ -270,5 +270,7 @@ def contamination(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark window occurs, with their own columns."""
-    return contamination(docs, benchmark).where("__found.n_hit = 0").select(*docs.columns)
+    """The documents in which no benchmark window occurs, with their own columns, whatever their names."""
+    names = {c: f"__d{i}" for i, c in enumerate(docs.columns)}
+    found = contamination(docs.withColumnsRenamed(names), benchmark, names["text"])
+    return found.where("__found.n_hit = 0").select(*(F.col(n).alias(c) for c, n in names.items()))

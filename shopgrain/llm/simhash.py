@@ -222,26 +222,34 @@ def simhash_groups(
     seed: int = 42,
     n_pivots: int = 16,
 ) -> DataFrame:
-    """``id``, ``fp``, ``th`` and ``component_id``, the smallest id reachable over links.
+    """``id``, ``fp``, ``th``, ``component_id``, the smallest id reachable over links, and
+    ``component_th``, the hash of that row's text (the least, should several texts have the id).
 
     Null text counts as empty. Texts without words share the fingerprint zero. Repeated rows and
     ids each get a result row. Null ids are never a component's id unless it has no other.
     """
     marked = materialize(fingerprints(docs, id_col, text_col, words, seed), "fingerprints")
-    nodes = materialize(marked.groupBy("fp").agg(F.min("id").alias("first")), "distinct-prints")
+    named = F.when(F.col("id").isNotNull(), F.struct("id", "th"))
+    nodes = materialize(marked.groupBy("fp").agg(F.min(named).alias("first")), "distinct-prints")
     roots = components(links(nodes, distance, n_pivots))
     grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = grouped.join(smallest, "root").select("fp", "component_id")
-    return marked.join(member, "fp").select("id", "fp", "th", "component_id")
+    smallest = grouped.groupBy("root").agg(F.min("first").alias("least"))
+    member = grouped.join(smallest, "root").select(
+        "fp", F.col("least.id").alias("component_id"), F.col("least.th").alias("component_th")
+    )
+    return marked.join(member, "fp").select("id", "fp", "th", "component_id", "component_th")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Of each component, the document with the smallest id; rows without an id stay as they are."""
+    """Of each component, the document with the smallest id; rows without an id stay as they are.
+
+    Should several texts of a component have that id, the one with the least hash stays. Rows equal in id
+    and text are one document and stay or go together.
+    """
     groups = simhash_groups(docs, id_col, **options)
-    gone = groups.where("id IS NOT NULL AND id <> component_id").select(
+    gone = groups.where("id IS NOT NULL AND (id <> component_id OR th <> component_th)").select(
         F.col("id").alias("__id"), F.col("th").alias("__th")
     )
     same = (F.col(id_col) == F.col("__id")) & (F.xxhash64(text_of()) == F.col("__th"))

@@ -90,3 +90,10 @@ def test_components_of_a_long_path(spark):
     random.Random(1).shuffle(order)
     path = spark.createDataFrame(list(zip(order, order[1:])) + [(100, 101), (7, 7)], "a long, b long")
     assert {r.node: r.root for r in components(path).collect()} == {**dict.fromkeys(order, 0), 100: 100, 101: 100}
+
+
+def test_one_text_of_an_id_that_a_group_holds_twice(spark, docs_of):
+    docs = docs_of([(1, "a b c"), (1, "A b c"), (2, "a  b c"), (3, "quite another text here"), (1, "a b c")])
+    kept = [(r.doc_id, r.text) for r in drop_near_copies(docs).collect()]
+    own = {t for i, t in kept if i == 1}
+    assert len(own) == 1 and {i for i, _ in kept} == {1, 3}
