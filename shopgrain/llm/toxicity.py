@@ -1,7 +1,14 @@
-"""Toxicity by class-conditional Kneser-Ney character models with a shared backoff."""
+"""Toxicity by class-conditional Kneser-Ney character models with a shared backoff.
+
+Whole words, kept as they are, have counts of their own in a Spark table that grows with the corpus
+and is joined with the texts; words it does not tell apart are left to the models of folded characters.
+"""
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopgrain.llm.common import shards, text_of
+from shopgrain.session import materialize
 
 SYMBOLS = 32
 ORDER = 4
@@ -23,6 +31,19 @@ CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
 #: Bytes of text that a worker looks at together.
 SLICE_BYTES = 2 << 20
+#: Longer runs of letters are several words.
+WORD = re.compile(r"[^\W\d_]{1,64}")
+#: Scripts without blanks between words: every two neighbouring letters count as a word.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
+#: Standard deviations by which a word's share of toxic rows has to leave the share of all rows;
+#: only what is beyond counts as evidence.
+WORD_DISCOUNT = 4.0
+#: Log ratios of words are summed as whole numbers of this size, whatever the order of tasks.
+WORD_UNIT = 1e-6
+#: Bits of the filter that keeps words without a ratio out of the join; others that pass do no harm.
+FILTER_BITS = 1 << 24
+#: A frequent word's rows are joined in that many groups.
+SALTS = 16
 
 
 def _symbols() -> np.ndarray:
@@ -51,6 +72,87 @@ def expressions(text: bytes, order: int = ORDER) -> np.ndarray:
     return keys
 
 
+def words(text: str) -> list[str]:
+    """The words of a text in lower case, nothing folded."""
+    found = WORD.findall(text.lower())
+    if text.isascii() or not UNSPACED.search(text):
+        return found
+    return [
+        part
+        for w in found
+        for part in ([w[i : i + 2] for i in range(max(1, len(w) - 1))] if UNSPACED.search(w) else [w])
+    ]
+
+
+def word_ratios(counted: DataFrame) -> DataFrame:
+    """``word``, ``ratio``: log P(toxic | word) / P(ordinary | word) against all rows, in WORD_UNIT.
+
+    ``counted``: ``toxic``, ``word``, ``n`` rows that hold the word; the empty word stands for all rows.
+    The expected number of toxic rows backs off to the share over all rows: a discount of WORD_DISCOUNT
+    standard deviations is taken off each difference, and words with nothing left have no ratio.
+    """
+    total = {r.toxic: r.n for r in counted.where("word = ''").select("toxic", "n").collect()}
+    p = total[1] / (total[0] + total[1])
+    m, t = F.col("m"), F.col("t")
+    gap = t - p * m
+    left = F.abs(gap) - WORD_DISCOUNT * F.sqrt(p * (1 - p) * m)
+    moved = p * m + F.signum(gap) * left
+    ratio = F.log(moved / (m - moved) * ((1 - p) / p))
+    return (
+        counted.where("word <> ''")
+        .groupBy("word")
+        .agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("toxic")).alias("t"))
+        .where(left > 0)
+        .select("word", F.round(ratio / WORD_UNIT).cast("long").alias("ratio"))
+    )
+
+
+def word_evidence(rows: DataFrame, ratios: DataFrame, row: str) -> DataFrame:
+    """``row``, ``said``: sum of the ratios of all words of a text; rows without such a word are left out.
+
+    ``rows``: the number ``row`` and ``text``. Each slice of 2 MB lists the places of a word once, so
+    that a frequent word is no large group; only words that pass a filter of fixed size are joined.
+    """
+    spark = rows.sparkSession
+    bits = np.zeros(FILTER_BITS, np.uint8)
+    places = ratios.select((F.crc32(F.col("word").cast("binary")) % FILTER_BITS).alias("bit")).distinct().toArrow()
+    bits[places["bit"].to_numpy()] = 1
+    held = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
+    where = pa.list_(pa.struct([("row", pa.int64()), ("n", pa.int64())]))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = held.value
+        for nth, b in enumerate(shards(batches, SLICE_BYTES)):
+            found: dict[str, list | None] = {}
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for word, n in Counter(words(text)).items():
+                    if word not in found:
+                        bit = zlib.crc32(word.encode()) % FILTER_BITS
+                        found[word] = [] if passing[bit >> 3] >> (bit & 7) & 1 else None
+                    if found[word] is not None:
+                        found[word].append({"row": i, "n": n})
+            kept = {w: x for w, x in found.items() if x is not None}
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(kept), pa.string()),
+                    pa.array(np.full(len(kept), nth % SALTS, np.int32)),
+                    pa.array(list(kept.values()), where),
+                ],
+                names=["word", "salt", "places"],
+            )
+
+    found = rows.select(F.col(row).alias("row"), "text").mapInArrow(
+        find, "word string, salt int, places array<struct<row: bigint, n: bigint>>"
+    )
+    salted = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (
+        found.join(salted, ["word", "salt"])
+        .select("ratio", F.inline("places"))
+        .groupBy(F.col("row").alias(row))
+        .agg(F.sum(F.col("ratio") * F.col("n")).alias("said"))
+    )
+
+
 def log_ratios(counts: np.ndarray, order: int = ORDER, discount: float = DISCOUNT) -> np.ndarray:
     """log P(symbol | context, toxic) - log P(symbol | context, ordinary) for each expression.
 
@@ -80,32 +182,47 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset by Newton's method with a slight penalty on the slope."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[np.ndarray, float]:
+    """Slopes (one for each column) and offset by Newton's method with a slight penalty on the slopes."""
     if len(x) == 0 or y.min() == y.max():
-        return 0.0, -20.0
-    mid, wide = float(x.mean()), float(x.std()) or 1.0
+        return np.zeros(x.shape[1]), -20.0
+    mid, wide = x.mean(axis=0), x.std(axis=0)
+    wide[wide == 0] = 1.0
     design = np.column_stack([(x - mid) / wide, np.ones(len(x))])
-    w = np.zeros(2)
+    penalty = np.array([0.1] * x.shape[1] + [0])
+    w = np.zeros(len(penalty))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        curve = design.T @ (design * (p * (1 - p))[:, None]) + np.diag([0.1, 1e-6])
-        w -= np.linalg.solve(curve, design.T @ (p - y) + np.array([0.1, 0]) * w)
-    return float(w[0] / wide), float(w[1] - w[0] * mid / wide)
+        curve = design.T @ (design * (p * (1 - p))[:, None]) + np.diag(np.maximum(penalty, 1e-6))
+        w -= np.linalg.solve(curve, design.T @ (p - y) + penalty * w)
+    return w[:-1] / wide, float(w[-1] - (w[:-1] * mid / wide).sum())
 
 
 class Model:
-    """The two class models as one table of log ratios, and the calibration."""
-
-    def __init__(self, ratios: np.ndarray, slope: float = 1.0, offset: float = 0.0):
-        self.ratios, self.slope, self.offset = ratios, slope, offset
+    """The two class models as one table of log ratios, the table of words, and the calibration."""
+
+    def __init__(
+        self,
+        ratios: np.ndarray,
+        slope: float = 1.0,
+        offset: float = 0.0,
+        words: DataFrame | None = None,
+        weight: float = 0.0,
+    ):
+        self.ratios, self.slope, self.offset, self.words, self.weight = ratios, slope, offset, words, weight
 
     def evidence(self, text: bytes) -> float:
         keys = expressions(text)
         return float(self.ratios[keys].sum(dtype=np.float64) / (len(keys) + LENGTH_PRIOR) ** LENGTH_POWER)
 
-    def score(self, text: bytes) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.evidence(text) + self.offset, -500, 500))))
+    def score(self, text: bytes, said: float = 0.0) -> float:
+        """``said``: sum of the ratios of the text's words, in WORD_UNIT."""
+        x = self.slope * self.evidence(text) + self.weight * word_part(text, said) + self.offset
+        return float(1 / (1 + np.exp(-np.clip(x, -500, 500))))
+
+
+def word_part(text: bytes, said: float) -> float:
+    return said * WORD_UNIT / (len(text) + LENGTH_PRIOR) ** LENGTH_POWER
 
 
 def train(
@@ -118,10 +235,11 @@ def train(
     """Count expressions of all rows that may be learned from, a fifth of them kept for calibration.
 
     Rows with crc32(id) mod 3 = 1 are never learned from. The counts come from every other labelled
-    row; they fit in SYMBOLS ** ORDER cells a class whatever the corpus, which bounds what the
-    driver gets and what is broadcast. The logistic curve from evidence to score, two numbers, is
-    fitted on at most ``calibration_rows`` rows, those with the least hashes. Labels that repeat an id count as toxic if any does. With
-    no toxic or no ordinary rows to learn from, all scores are 0.
+    row. Runs of folded characters fit in SYMBOLS ** ORDER cells a class whatever the corpus, which
+    bounds what the driver gets and what is broadcast. Words stay in a Spark table that grows with the
+    corpus. The logistic curve from both kinds of evidence to the score, three numbers, is fitted on at
+    most ``calibration_rows`` rows, those with the least hashes. Labels that repeat an id count as toxic
+    if any does. With no toxic or no ordinary rows to learn from, all scores are 0.
     """
     spark = docs.sparkSession
     may = (F.col("__fold") % 3 != 1) & F.col("__id").isNotNull()
@@ -142,73 +260,116 @@ def train(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, cells), np.int64)
+        names = ["toxic", "key", "word", "n"]
         for b in shards(batches, SLICE_BYTES):
-            for toxic, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary())):
-                keys, n = np.unique(expressions(text.as_py()), return_counts=True)
-                counts[1 if toxic else 0, keys] += n
+            said: dict[int, Counter] = defaultdict(Counter)
+            for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                toxic = 1 if label else 0
+                keys, n = np.unique(expressions(text.encode()), return_counts=True)
+                counts[toxic, keys] += n
+                said[toxic].update({"", *words(text)})
+            for toxic, found in said.items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(found), toxic, np.int32)),
+                        pa.nulls(len(found), pa.int32()),
+                        pa.array(list(found), pa.string()),
+                        pa.array(list(found.values()), pa.int64()),
+                    ],
+                    names=names,
+                )
         for toxic in (0, 1):
             keys = np.flatnonzero(counts[toxic])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(keys), toxic, np.int32)),
                     pa.array(keys.astype(np.int32)),
+                    pa.nulls(len(keys), pa.string()),
                     pa.array(counts[toxic, keys]),
                 ],
-                names=["toxic", "key", "n"],
+                names=names,
             )
 
-    found = (
+    counted = materialize(
         rows.where(~calibrates)
         .select("toxic", "text")
-        .mapInArrow(count, "toxic int, key int, n long")
-        .groupBy("toxic", "key")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
+        .mapInArrow(count, "toxic int, key int, word string, n long")
+        .groupBy("toxic", "key", "word")
+        .agg(F.sum("n").alias("n")),
+        "expressions",
     )
+    found = counted.where("word IS NULL").select("toxic", "key", "n").toArrow()
     counts = np.zeros((2, cells), np.int64)
     counts[found["toxic"].to_numpy(), found["key"].to_numpy()] = found["n"].to_numpy()
     if not counts.any(axis=1).all():
         return Model(np.zeros(cells, np.float32), 0.0, -1000.0)
-    model = Model(log_ratios(counts))
+    model = Model(log_ratios(counts), words=materialize(word_ratios(counted.where("key IS NULL")), "word_ratios"))
     held = spark.sparkContext.broadcast(model.ratios)
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(held.value)
         for b in shards(batches, SLICE_BYTES):
-            x = [known.evidence(t.as_py()) for t in b.column(1).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64())], names=["toxic", "x"])
+            texts = [t.as_py() for t in b.column(2).cast(pa.large_binary())]
+            found = ([known.evidence(t) for t in texts], [word_part(t, 1) for t in texts])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), *(pa.array(x, pa.float64()) for x in found)],
+                names=["row", "toxic", "x", "unit"],
+            )
 
     # At most calibration_rows ids, small enough to broadcast: their texts need not move.
     picked = marks.where(calibrates).orderBy("__fold", "__id").limit(calibration_rows)
+    texts = numbered(docs.select(F.col(id_col).alias("__id"), text_of().alias("text")), "row").join(
+        F.broadcast(picked), "__id"
+    )
     sample = (
-        docs.select(F.col(id_col).alias("__id"), text_of().alias("text"))
-        .join(F.broadcast(picked), "__id")
-        .select("toxic", "text")
-        .mapInArrow(evidence, "toxic int, x double")
+        texts.select("row", "toxic", "text")
+        .mapInArrow(evidence, "row long, toxic int, x double, unit double")
+        .join(word_evidence(texts.select("row", "text"), model.words, "row"), "row", "left")
+        .select("toxic", "x", (F.col("unit") * F.coalesce("said", F.lit(0))).alias("said"))
         .toArrow()
     )
-    slope, offset = fit_logistic(
-        sample["x"].to_numpy().astype(np.float64), (sample["toxic"].to_numpy() > 0).astype(np.float64)
-    )
-    return Model(model.ratios, slope, offset)
+    y, x, said = (sample[c].to_numpy().astype(np.float64) for c in ("toxic", "x", "said"))
+    order = np.lexsort((y, x, said))  # sums don't depend on the order of tasks
+    slopes, offset = fit_logistic(np.column_stack([x, said])[order], (y[order] > 0).astype(np.float64))
+    return Model(model.ratios, float(slopes[0]), offset, model.words, float(slopes[1]))
+
+
+def numbered(docs: DataFrame, row: str) -> DataFrame:
+    """A number for each row by input split and place there; the same whenever the same files are read."""
+    return docs.withColumn(row, F.monotonically_increasing_id())
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
-    """The documents with a score from 0 to 1 appended. Null text counts as empty and gets a score, too."""
+    """The documents with a score from 0 to 1 appended. Null text counts as empty and gets a score, too.
+
+    The documents are read twice, for their words and for the rest, and must come in the same splits
+    and order both times, as tables do.
+    """
     table = docs.sparkSession.sparkContext.broadcast(model.ratios)
     slope, offset = model.slope, model.offset
     place = docs.columns.index(text_col)
+    row, x, unit = "__row", "__x", "__unit"
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(table.value, slope, offset)
         for b in shards(batches, SLICE_BYTES, text_col):
-            texts = b.column(place).cast(pa.large_binary())
-            x = [known.score(t.as_py() or b"") for t in texts]
+            texts = [t.as_py() or b"" for t in b.column(place).cast(pa.large_binary())]
+            found = ([known.slope * known.evidence(t) + known.offset for t in texts], [word_part(t, 1) for t in texts])
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(x, pa.float64())], names=[*b.schema.names, out]
+                [*b.columns, *(pa.array(v, pa.float64()) for v in found)], names=[*b.schema.names, x, unit]
             )
 
-    return docs.mapInArrow(scores, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+    rows = numbered(docs, row)
+    kinds = [T.StructField(n, T.DoubleType()) for n in (x, unit)]
+    scored = rows.mapInArrow(scores, T.StructType([*rows.schema.fields, *kinds]))
+    if model.words is None:
+        total = F.col(x)
+    else:
+        texts = rows.select(row, text_of(text_col).alias("text"))
+        scored = scored.join(word_evidence(texts, model.words, row).withColumnRenamed("said", "__said"), row, "left")
+        total = F.col(x) + model.weight * F.col(unit) * F.coalesce("__said", F.lit(0))
+    capped = F.greatest(F.least(total, F.lit(500.0)), F.lit(-500.0))
+    return scored.select(*(F.col(f"`{c}`") for c in docs.columns), (1 / (1 + F.exp(-capped))).alias(out))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

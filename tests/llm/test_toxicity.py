@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from shopgrain.llm.toxicity import drop_toxic, expressions, fold, log_ratios, score, train
+from shopgrain.llm.toxicity import drop_toxic, expressions, fold, log_ratios, score, train, words
 
 
 def frames(spark, sf_dir):
@@ -48,3 +48,22 @@ def test_models_are_distributions():
     ratios = log_ratios(counts)
     assert np.isfinite(ratios).all()
     assert ratios[expressions(b"idiot")].sum() > 0 > ratios[expressions(b"thing")].sum()
+
+
+def test_words_are_counted_as_they_are(spark):
+    docs, labels = frames(spark, "/root/testdata/sf0.1")
+    model = train(docs, labels)
+    held = (fold("doc_id") % 3 == 1) & (F.col("lang") == "en")
+    rows = score(docs, model).join(labels, "doc_id").where(held).select("score", "toxic").collect()
+    # Four folded symbols found 25 of the 82.
+    assert sum(r.score >= 0.7 for r in rows if r.toxic) >= 70
+    assert sum(r.score >= 0.7 for r in rows if not r.toxic) <= 3
+    found = {r.word for r in model.words.where("ratio > 2000000").collect()}
+    assert {"idiot", "worthless", "moron", "scum"} <= found
+
+
+def test_words():
+    assert words("An idiot, 2 Idiots!") == ["an", "idiot", "idiots"]
+    assert words("日本語 x 人") == ["日本", "本語", "x", "人"]
+    # In folded symbols these were the same.
+    assert expressions("ñandú".encode()).tolist() != [] and words("ñandú") == ["ñandú"] != words("òandú")
