@@ -232,13 +232,13 @@ def train(
     label_col: str = "toxic",
     calibration_rows: int = CALIBRATION_ROWS,
 ) -> Model:
-    """Count expressions of all rows that may be learned from, a fifth of them kept for calibration.
+    """Count expressions of all rows that may be learned from but those picked for calibration.
 
     Rows with crc32(id) mod 3 = 1 are never learned from. The counts come from every other labelled
-    row. Runs of folded characters fit in SYMBOLS ** ORDER cells a class whatever the corpus, which
+    row that is not picked. Runs of folded characters fit in SYMBOLS ** ORDER cells a class whatever the corpus, which
     bounds what the driver gets and what is broadcast. Words stay in a Spark table that grows with the
     corpus. The logistic curve from both kinds of evidence to the score, three numbers, is fitted on at
-    most ``calibration_rows`` rows, those with the least hashes. Labels that repeat an id count as toxic
+    most ``calibration_rows`` rows, of a fifth of the ids those with the least hashes. Labels that repeat an id count as toxic
     if any does. With no toxic or no ordinary rows to learn from, all scores are 0.
     """
     spark = docs.sparkSession
@@ -256,6 +256,8 @@ def train(
         .join(marks.hint("merge"), "__id")  # the labels grow with the documents
     )
     calibrates = F.floor(F.col("__fold") / 3) % 5 == 0
+    # At most calibration_rows ids, small enough to broadcast: their texts need not move.
+    picked = marks.where(calibrates).orderBy("__fold", "__id").limit(calibration_rows)
     cells = SYMBOLS**ORDER
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +293,7 @@ def train(
             )
 
     counted = materialize(
-        rows.where(~calibrates)
+        rows.join(F.broadcast(picked.select("__id")), "__id", "left_anti")
         .select("toxic", "text")
         .mapInArrow(count, "toxic int, key int, word string, n long")
         .groupBy("toxic", "key", "word")
@@ -316,8 +318,6 @@ def train(
                 names=["row", "toxic", "x", "unit"],
             )
 
-    # At most calibration_rows ids, small enough to broadcast: their texts need not move.
-    picked = marks.where(calibrates).orderBy("__fold", "__id").limit(calibration_rows)
     texts = numbered(docs.select(F.col(id_col).alias("__id"), text_of().alias("text")), "row").join(
         F.broadcast(picked), "__id"
     )

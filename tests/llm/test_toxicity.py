@@ -67,3 +67,16 @@ def test_words():
     assert words("日本語 x 人") == ["日本", "本語", "x", "人"]
     # In folded symbols these were the same.
     assert expressions("ñandú".encode()).tolist() != [] and words("ñandú") == ["ñandú"] != words("òandú")
+
+
+def test_only_picked_rows_are_left_out_of_the_counts(spark, sf_dir):
+    docs, labels = frames(spark, sf_dir)
+    marked = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = docs.join(marked, "doc_id").withColumn("h", fold("doc_id")).where("h % 3 <> 1").orderBy("h", "doc_id")
+    rows = rows.select("h", "toxic", "text").collect()
+    picked = [r for r in rows if r.h // 3 % 5 == 0][:3]
+    counts = np.zeros((2, 32**4), np.int64)
+    for r in rows:
+        if r not in picked:
+            np.add.at(counts[1 if r.toxic else 0], expressions((r.text or "").encode()), 1)
+    assert (train(docs, labels, calibration_rows=3).ratios == log_ratios(counts)).all()
