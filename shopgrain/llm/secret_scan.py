@@ -22,18 +22,23 @@ HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{16}")
 
 #: Strings that are tried: long runs of the characters of keys in base 64 or its URL form.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_-])")
-#: Known digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512) and identifiers are not secrets.
-DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I)
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])")
+#: Known digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512) and identifiers are not secrets. Only
+#: digests in lower case: kind hex reports those, and none in upper case.
+DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
 IDENTIFIER = re.compile(
     r"[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}"  # UUID
     r"|[0-9_=+/-]+"  # numbers, dates, rulers
-    r"|[A-Za-z]+(?:[_/=+-][A-Za-z]+)*[_/=+-]?[0-9]{0,4}"  # words joined by marks, perhaps numbered
     r"|(?:[A-Za-z]{0,3}[0-9]+[_/=+-])+[A-Za-z]{0,3}[0-9]+",  # numbered parts
     re.I,
 )
-#: Prose has about 4 characters a token, invented words above 2.3; random strings have fewer.
+#: Words of one case, joined by marks, perhaps numbered; only their letters are looked at.
+WORDS = re.compile(r"(?:(?:[a-z]+|[A-Z][a-z]*|[A-Z]+)[_/=+-]+)*(?:[a-z]+|[A-Z][a-z]*|[A-Z]+)[_/=+-]*[0-9]{0,4}=*")
+LETTERS = re.compile(r"[A-Za-z]+")
+#: Prose has about 4 characters a token, invented words mostly above 2; random strings have fewer.
 MAX_CHARS_PER_TOKEN = 2.0
+#: Lower limits for what looks like words, and for short strings, whose ratio varies more.
+WORDS_LIMIT, SHORT_LIMIT, SHORT = 1.9, 1.8, 20
 
 
 class Scanner:
@@ -54,7 +59,13 @@ class Scanner:
         """Few characters a token, and neither a digest nor an identifier."""
         if DIGEST.fullmatch(candidate) or IDENTIFIER.fullmatch(candidate):
             return False
-        return len(candidate) <= self.limit * len(self.encoding.encode_ordinary(candidate))
+        parts, limit = [candidate], self.limit
+        if WORDS.fullmatch(candidate):
+            parts, limit = LETTERS.findall(candidate), min(limit, WORDS_LIMIT)
+        if len(candidate) < SHORT:
+            limit = min(limit, SHORT_LIMIT)
+        tokens = sum(len(self.encoding.encode_ordinary(p)) for p in parts)
+        return sum(map(len, parts)) <= limit * tokens
 
     def spans(self, text: str) -> list[tuple[int, str, int]]:
         """(start, kind, end) of every find, by start, then kind as listed."""

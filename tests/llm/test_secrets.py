@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -76,3 +78,25 @@ def test_odd_rows(odd):
     got = scan(odd, PATH).collect()
     assert len(got) == odd.count() and all(r.spans == [] for r in got)
     assert scan(odd.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize(
+    "alphabet, size, least",
+    [(string.ascii_letters, n, 0.97) for n in (16, 20, 40)]
+    + [(string.ascii_letters + string.digits, n, 0.97) for n in (16, 19, 20, 24)]
+    + [(string.digits + "ABCDEF", 32, 0.9), (string.digits + "ABCDEF", 64, 0.9), (string.ascii_lowercase, 24, 0.8)],
+)
+def test_random_keys(alphabet, size, least):
+    rng, scanner = random.Random(size), Scanner(PATH)
+    keys = ["".join(rng.choices(alphabet, k=size)) for _ in range(500)]
+    found = sum(("dense", 4, 4 + size) in [(k, s, e) for s, k, e in scanner.spans(f"see {x} x")] for x in keys)
+    assert found >= least * len(keys)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["getUserAccountNameFromSession", "HTTPServerConnectionFactory", "MAX_CONNECTION_RETRY_COUNT",
+     "internationalization", "/usr/local/lib/python/site-packages", "responsibilities", "2024-01-02/2024-01-03"],
+)
+def test_names_are_no_keys(text):
+    assert Scanner(PATH).spans(text) == []
