@@ -18,6 +18,8 @@ from shopgrain.llm.common import partitions, shards
 from shopgrain.llm.urls import host_of, path_of
 
 BATCH_BYTES = 4 << 20
+#: An article that has this share of its lines in common with its partner's is a near copy of it.
+COPY_SHARE = 0.5
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -51,11 +53,31 @@ BLOCKS = set(
 
 @dataclass
 class Line:
-    """A block of text; whether it stands in the article, and whether in page furniture."""
+    """A block of text; whether it stands in the article, and whether in page furniture.
+
+    ``outer``: furniture begun since the last article opened, or an article that is furniture itself;
+    ``around``: any furniture, also what an article stands in.
+    """
 
     text: str
     inside: bool
     outer: bool
+    around: bool
+
+
+@dataclass
+class _Furniture:
+    tag: str = ""  # the element that opened the furniture, and how deep it is nested in itself
+    depth: int = 0
+
+    def begin(self, tag: str) -> None:
+        self.tag, self.depth = tag, 1
+
+    def shut(self, tag: str) -> None:
+        if self.tag and (tag == self.tag or tag == "body"):
+            self.depth -= 1
+            if self.depth <= 0 or tag == "body":
+                self.tag = ""
 
 
 @dataclass
@@ -63,25 +85,28 @@ class _Parser:
     lines: list[Line] = field(default_factory=list)
     words: list[str] = field(default_factory=list)
     inside: int = 0
-    outer: str = ""  # the element that opened the furniture, and how deep it is nested in itself
-    depth: int = 0
+    outer: _Furniture = field(default_factory=_Furniture)
+    around: _Furniture = field(default_factory=_Furniture)
 
     def flush(self) -> None:
         text = " ".join("".join(self.words).split())
         if text:
-            self.lines.append(Line(text, self.inside > 0, bool(self.outer)))
+            self.lines.append(Line(text, self.inside > 0, bool(self.outer.tag), bool(self.around.tag)))
         self.words = []
 
     def open(self, tag: str, attrs: str) -> None:
         if tag in BLOCKS:
             self.flush()
+        begins = tag not in VOID and tag not in ("body", "html") and self.furniture(tag, attrs)
         if tag in ARTICLE:
             self.inside += 1
-            self.outer = ""  # an article ends furniture that was never closed
-        elif self.outer:
-            self.depth += tag == self.outer
-        elif tag not in VOID and tag not in ("body", "html") and self.furniture(tag, attrs):
-            self.outer, self.depth = tag, 1
+            if not begins and self.outer.tag not in ARTICLE:
+                self.outer.tag = ""  # the article may be right though it stands in furniture, see main_text
+        for kind in (self.outer, self.around):
+            if kind.tag:
+                kind.depth += tag == kind.tag
+            elif begins:
+                kind.begin(tag)
 
     def furniture(self, tag: str, attrs: str) -> bool:
         if tag in OUTER or tag == "header" and not self.inside:
@@ -97,10 +122,8 @@ class _Parser:
             self.flush()
         if tag in ARTICLE:
             self.inside = max(0, self.inside - 1)
-        if self.outer and (tag == self.outer or tag == "body"):
-            self.depth -= 1
-            if self.depth <= 0 or tag == "body":
-                self.outer = ""
+        self.outer.shut(tag)
+        self.around.shut(tag)
 
 
 def parse(page: str) -> list[Line]:
@@ -162,29 +185,52 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
 
 
 def without_shared(own: list[str], other: list[str]) -> list[bool]:
-    """Which of a page's loose lines stay after differencing against its partner.
+    """Which of a page's lines stay after differencing against its partner, lines as ``loose`` gives them.
 
     A partner with the very same loose lines is a copy and says nothing about furniture unless
-    nothing else can tell the pages apart; its lines are then kept.
+    nothing else can tell the pages apart; its loose lines are then kept. Lines of an article are compared
+    with lines of the partner's article, and kept if COPY_SHARE of them are common: the same article.
     """
-    if own == other:
-        return [True] * len(own)
-    shared = common_lines(own, other)
-    return [i not in shared for i in range(len(own))]
+    stays = [True] * len(own)
+    for kind in (LOOSE, INSIDE):
+        places = [i for i, x in enumerate(own) if x[0] == kind]
+        a, b = [own[i] for i in places], [x for x in other if x[0] == kind]
+        if a == b or not b:
+            continue
+        shared = common_lines(a, b)
+        if kind == INSIDE and len(shared) >= COPY_SHARE * len(a):
+            continue
+        for i in shared:
+            stays[places[i]] = False
+    return stays
+
+
+def structure(lines: list[Line]) -> list[bool]:
+    """The lines of the article, of an article within furniture if there is no other, or the loose
+    lines that are no furniture; what is named like furniture only if the page has nothing else."""
+    for article in (
+        [x.inside and not x.outer and not x.around for x in lines],
+        [x.inside and not x.outer for x in lines],
+        [not x.inside and not x.outer for x in lines],
+    ):
+        if any(article):
+            return article
+    return [x.inside for x in lines]
 
 
 def main_text(page: str, stays: list[bool] | None) -> str:
-    """Lines of the article and, on pages without one, loose lines that are neither shared nor furniture."""
+    """Lines of the article, or of a page without one, that are neither shared nor furniture."""
     lines = parse(page)
-    if any(x.inside and not x.outer for x in lines):
-        return " ".join(x.text for x in lines if x.inside and not x.outer)
-    kept = zip((x for x in lines if not x.inside), stays or [True] * len(lines))
-    return " ".join(x.text for x, stay in kept if stay and not x.outer)
+    kept = zip(lines, structure(lines), stays or [True] * len(lines))
+    return " ".join(x.text for x, right, stay in kept if right and stay)
+
+
+LOOSE, INSIDE = "-", "+"
 
 
 def loose(page: str) -> list[str]:
-    """The lines that differencing looks at: all outside of an article."""
-    return [x.text for x in parse(page) if not x.inside]
+    """The lines that differencing looks at, each after a sign that tells whether it stands in an article."""
+    return [(INSIDE if x.inside else LOOSE) + x.text for x in parse(page)]
 
 
 @dataclass
@@ -223,10 +269,10 @@ def extract(
     """``id_col``, ``url_col``, ``text`` of each page.
 
     Pages are sorted by host and path over all tasks, so a page's nearest URL is the one before or
-    after it, whichever path begins longer alike (the one before, if equal). Loose lines on a longest
-    common subsequence with that page are deleted. What is left of page furniture is dropped by
-    element, role and class. Lines inside an article element are never deleted: the same article
-    under two URLs is no furniture. The first and last page of each task are compared across
+    after it, whichever path begins longer alike (the one before, if equal). Lines on a longest common
+    subsequence with that page are deleted, inside and outside of articles, but those of an article that
+    shares half of its lines: the same article under two URLs is no furniture. What is left of
+    page furniture is dropped by element, role and class. The first and last page of each task are compared across
     tasks afterwards.
 
     Null html is empty and has no text; a null url, or one without a host, has no partner; equal

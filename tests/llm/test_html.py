@@ -106,3 +106,27 @@ def test_on_pages(spark, sf_dir):
     for (_, _, html), (_, text) in zip(sorted(rows), got):
         assert html.count("<article>") == 1 and text
         assert "&copy;" not in text and "©" not in text
+
+
+def test_shared_lines_inside_an_article_are_deleted(spark):
+    def post(i, same):
+        own = "".join(f"<p>Line {k} of {same or i}</p>" for k in range(6))
+        return f"<nav>n</nav><main><div>Our offers</div>{own}<div>Rate this page</div></main>"
+
+    rows = [(i, f"http://a.org/{i}", post(i, 0)) for i in (1, 2)] + [(i, f"http://b.org/{i}", post(i, 9)) for i in (3, 4)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == " ".join(f"Line {k} of 1" for k in range(6))
+    assert "Line 5 of 9 Rate this page" in got[3] and got[3] == got[4]  # the same article twice
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article>a</article><article class=comment>c<article>d</article></article>", "a"),
+        ("<article>a</article><div class=related><article class=card>t</article></div>", "a"),
+        ("<div class=ad>x<article>a</article><article class=comment>c</article>", "a"),
+        ("<article class=has-sidebar>a</article>", "a"),
+    ],
+)
+def test_articles_that_are_furniture(page, want):
+    assert main_text(page, None) == want
