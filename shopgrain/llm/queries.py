@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm import manifest_queries, mix_queries
+from shopgrain.llm import manifest_queries, mix_queries, trie_queries
 from shopgrain.llm.chat import format_chat, read_back, row_turns, under_loss
 from shopgrain.llm.common import read
 from shopgrain.llm.decontam import WINDOW, contamination
@@ -266,10 +266,10 @@ QUERIES: dict[str, Query] = {
         op10_urls,
         pipeline,
     )
-} | mix_queries.QUERIES | manifest_queries.QUERIES
+} | mix_queries.QUERIES | manifest_queries.QUERIES | trie_queries.QUERIES
 SQL: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op3_chat": OP3_SQL,
     "op4_decontamination": OP4_SQL,
     "op10_urls": OP10_SQL,
-} | mix_queries.SQL | manifest_queries.SQL
+} | mix_queries.SQL | manifest_queries.SQL | trie_queries.SQL
