@@ -21,7 +21,7 @@ from shopgrain.catalog.registry import query
 from shopgrain.operators.quality import kept_rows
 from shopgrain.plans import daily, gold, silver, star
 from shopgrain.plans.declared import SILVER_TESTS
-from shopgrain.session import scratch_path
+from shopgrain.session import materialize, scratch_path
 from shopgrain.sources.conform import Retail, as_text
 
 
@@ -168,7 +168,8 @@ def fact_orders(t: Retail):
 
 @query("gold_daily_sales", layer("gold_daily_sales"))
 def gold_daily_sales(t: Retail):
-    return gold.daily_sales(t.order_profit, orders_unique=True)
+    sold = materialize(t.order_profit.select(*gold.DAILY_COLUMNS), "order-profit")
+    return gold.daily_sales(sold, orders_unique=True)
 
 
 @query("gold_product_performance", layer("gold_product_performance"))

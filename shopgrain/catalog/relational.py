@@ -20,6 +20,7 @@ from shopgrain.functions.labels import (
     stock_status,
 )
 from shopgrain.operators.changes import latest_per_key, sample_by_key
+from shopgrain.operators.distinct import totals_with_counts
 from shopgrain.operators.ranks import rank_distributed
 from shopgrain.plans import gold, silver
 from shopgrain.session import materialize, scratch_path
@@ -37,7 +38,8 @@ def table_scan(t: Retail):
 @query("full_refresh_table", layer("gold_daily_sales"))
 def full_refresh_table(t: Retail):
     path = scratch_path(t.spark, "daily_sales")
-    gold.daily_sales(t.order_profit).write.mode("overwrite").parquet(path)
+    sold = materialize(t.order_profit.select(*gold.DAILY_COLUMNS), "order-profit")
+    gold.daily_sales(sold).write.mode("overwrite").parquet(path)
     return t.spark.read.parquet(path)
 
 
@@ -424,12 +426,9 @@ def scalar_subquery_max(t: Retail):
     FROM lineitem GROUP BY 1""",
 )
 def agg_multi_distinct(t: Retail):
-    return t.table("lineitem").groupBy("l_returnflag").agg(
-        F.count_distinct("l_orderkey").alias("orders"),
-        F.count_distinct("l_partkey").alias("parts"),
-        F.count_distinct("l_suppkey").alias("suppliers"),
-        F.sum(F.col("l_quantity").cast("bigint")).alias("units"),
-    )
+    units = F.sum(F.col("l_quantity").cast("bigint")).alias("units")
+    counts = {"orders": "l_orderkey", "parts": "l_partkey", "suppliers": "l_suppkey"}
+    return totals_with_counts(t.table("lineitem"), ["l_returnflag"], [units], counts, numbers=True)
 
 
 @query(
@@ -570,7 +569,7 @@ def window_rank_over_agg(t: Retail):
     ),
 )
 def sort_by_date(t: Retail):
-    sales = gold.daily_sales(t.order_profit)
+    sales = gold.daily_revenue(t.order_profit)
     return (
         sales.groupBy(F.col("order_date").alias("ds"))
         .agg(money_sum("total_revenue").cast("double").alias("y"))

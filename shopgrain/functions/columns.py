@@ -15,7 +15,8 @@ EMAIL_MASK_PATTERN = "(?<=.{2}).(?=.*@)"
 EMAIL_MASK_CHAR = "*"
 RAW_DATE_FORMAT = "yyyy-MM-dd"
 
-LOW_BITS = 20
+WHOLE_BITS = 20
+PART_BITS = 17
 #: Decimals that an exact sum keeps of each value unless told otherwise.
 SUM_SCALE = 10
 MAX_SUMMAND = 1e18
@@ -44,13 +45,11 @@ def _known(c: Column) -> Column:
     return F.when(~F.isnan(c.cast("double")), c)
 
 
-def money_sum(c: Column | str, scale: int = SUM_SCALE) -> Column:
-    """Exact sum of numbers rounded to ``scale`` decimals each (half up), as DECIMAL(38, scale).
+def money_limbs(c: Column | str, scale: int = SUM_SCALE) -> list[Column]:
+    """Five integers of at most 20 bits each that make up a number rounded to ``scale`` decimals (half up).
 
-    The integer part goes into two BIGINT sums, high and low bits apart, the fraction into a
-    third: independent of the order of tasks, and cheaper than adding DECIMAL values. Doubles have
-    about 16 digits, so a scale of 10 is beyond what amounts of a million and more can hold. A
-    value of 1e18 or more in size, infinity included, is an error; NaN counts as null.
+    Three hold the integer part, two the fraction. Their BIGINT sums cannot overflow below 2**43 rows, and
+    limb sums of parts of a group add up to those of the whole.
     """
     value = _known(_col(c)).cast("double")
     value = F.when(
@@ -58,10 +57,36 @@ def money_sum(c: Column | str, scale: int = SUM_SCALE) -> Column:
     ).otherwise(value)
     whole = F.floor(value)
     part = F.floor((value - whole) * 10**scale + 0.5)
-    high = F.sum(F.shiftright(whole, LOW_BITS)).cast("decimal(19,0)")
-    low = F.sum(whole.bitwiseAND(2**LOW_BITS - 1)).cast("decimal(19,0)")
-    fraction = F.sum(part).cast("decimal(19,0)") * F.lit(f"1e-{scale}").cast(f"decimal({scale},{scale})")
-    return (high * F.lit(2**LOW_BITS) + low + fraction).cast(f"decimal(38,{scale})")
+    mask = 2**WHOLE_BITS - 1
+    return [
+        F.shiftright(whole, 2 * WHOLE_BITS),
+        F.shiftright(whole, WHOLE_BITS).bitwiseAND(mask),
+        whole.bitwiseAND(mask),
+        F.shiftright(part, PART_BITS),
+        part.bitwiseAND(2**PART_BITS - 1),
+    ]
+
+
+def limbs_total(limbs: list[Column], scale: int = SUM_SCALE) -> Column:
+    """The number that summed limbs stand for, as DECIMAL(38, scale)."""
+    high, middle, low, upper, lower = (c.cast("decimal(19,0)") for c in limbs)
+    # Every step is cast to what it can need: beyond 38 digits Spark would give up decimals.
+    base = F.lit(2**WHOLE_BITS).cast("decimal(7,0)")
+    whole = ((high * base + middle).cast("decimal(28,0)") * base + low).cast(f"decimal(36,{scale})")
+    units = (upper * F.lit(2**PART_BITS).cast("decimal(6,0)") + lower).cast("decimal(27,0)")
+    part = units * F.lit(f"1e-{scale}").cast(f"decimal({scale},{scale})")
+    return (whole + part.cast(f"decimal(36,{scale})")).cast(f"decimal(38,{scale})")
+
+
+def money_sum(c: Column | str, scale: int = SUM_SCALE) -> Column:
+    """Exact sum of numbers rounded to ``scale`` decimals each (half up), as DECIMAL(38, scale).
+
+    Added up limb by limb: independent of the order of tasks, cheaper than adding DECIMAL values, and
+    good for 2**43 rows a group. Doubles have about 16 digits, so a scale of 10 is beyond what amounts
+    of a million and more can hold. A value of 1e18 or more in size, infinity included, is an error; so is
+    a total of 1e26 or more. NaN counts as null.
+    """
+    return limbs_total([F.sum(limb) for limb in money_limbs(c, scale)], scale)
 
 
 def money_count(c: Column | str) -> Column:

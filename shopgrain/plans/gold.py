@@ -9,10 +9,17 @@ from shopgrain.functions import as_money, money_sum, ratio, rounded
 from shopgrain.functions.columns import money_count
 from shopgrain.functions.labels import rfm_segment, stock_status
 from shopgrain.operators.changes import latest_per_key
+from shopgrain.operators.distinct import totals_with_counts
 from shopgrain.operators.joins import lookup_join
 from shopgrain.operators.ranks import ROWS_PER_BUCKET, ntile_distributed, rank_distributed
 from shopgrain.session import materialize
 
+DAILY_KEYS = ["order_date", "region", "channel"]
+#: What the daily report reads of the fact.
+DAILY_COLUMNS = [
+    *DAILY_KEYS, "order_id", "customer_id", "product_id", "quantity", "gross_amount", "net_amount", "gross_profit",
+    "gross_margin_pct", "is_returned", "is_cancelled",
+]
 PRODUCT_KEYS = ["product_id", "product_name", "category", "subcategory", "supplier_id"]
 
 
@@ -50,18 +57,23 @@ def _measures() -> dict[str, Column]:
 
 
 def daily_sales(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
-    """Sales per (day, region, channel). The calendar keys follow from the day and are added last."""
+    """Sales per (day, region, channel). The calendar keys follow from the day and are added last.
+
+    ``fact`` is read once for the sums and once per distinct count: pass a written table.
+    """
     measures = _measures()
+    sums = [
+        *_sums(),
+        money_sum("gross_amount").alias("__gross"),
+        F.sum("is_cancelled").alias("cancelled_orders"),
+    ]
+    counts = {"unique_customers": "customer_id", "unique_products": "product_id"}
+    if orders_unique:
+        sums.append(_orders(True).alias("total_orders"))
+    else:
+        counts["total_orders"] = "order_id"
     return (
-        fact.groupBy("order_date", "region", "channel")
-        .agg(
-            *_sums(),
-            money_sum("gross_amount").alias("__gross"),
-            F.sum("is_cancelled").alias("cancelled_orders"),
-            _orders(orders_unique).alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("product_id").alias("unique_products"),
-        )
+        totals_with_counts(fact, DAILY_KEYS, sums, counts)
         .select(
             "order_date",
             "region",

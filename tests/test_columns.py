@@ -1,14 +1,14 @@
 """Edge rows of the scalar rules."""
 
 import datetime as dt
-from decimal import Decimal
+from decimal import Context, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from shopgrain.functions import email_mask, money_sum, rounded, surrogate_key, to_bool, to_day
 from shopgrain.functions.calendar import us_holiday
-from shopgrain.functions.columns import mean_money
+from shopgrain.functions.columns import limbs_total, mean_money, money_limbs
 from shopgrain.functions.labels import age_band, discount_tier, rfm_segment, stock_status
 
 
@@ -113,8 +113,29 @@ def test_exact_sums_and_means(spark):
     assert sums([0.1] * 3).s == Decimal("0.3") and sums([-0.005, -1.5]).s == Decimal("-1.505")
     assert sums([0.12345, 1.0], 2).s == Decimal("1.12")
     assert sums([10.0, 20.0, float("nan"), None]).m == 15.0
+    assert sums([1e15 + 0.5, 1e-10, 2e-10]).s == Decimal("1000000000000000.5000000003")
     empty = sums([None, float("nan")])
     assert empty.s is None and empty.m is None
     for bad in (float("inf"), -float("inf"), 1e18):
         with pytest.raises(Exception, match="out of range"):
             sums([1.0, bad])
+
+
+def test_sums_of_a_billion_rows(spark):
+    """One group of 1e9 rows; then limb sums as 2**43 rows of the largest limbs would leave them."""
+    row = spark.range(1_000_000_000).select(money_sum(F.lit(0.9999)).alias("s")).first()
+    assert row.s == Decimal("999900000")
+    limbs = [F.lit((2**20 - 1) * 2**43).cast("long")] * 3 + [F.lit((2**17 - 1) * 2**43).cast("long")] * 2
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|ARITHMETIC_OVERFLOW"):
+        spark.range(1).select(limbs_total(limbs).alias("s")).first()  # 1e31: beyond DECIMAL(38, 10)
+    total = spark.range(1).select(limbs_total([F.lit(0), *limbs[1:]]).alias("s")).first().s
+    units = 10**10 * 2**43 * (2**40 - 1) + 2**43 * (2**34 - 1)
+    assert total == Decimal(units).scaleb(-10, Context(prec=60))
+
+
+def test_limb_sums_of_parts_add_up(spark):
+    values = [(i % 3, (-1) ** i * (i * 7919.123456 + 10.0**i)) for i in range(17)]
+    df = spark.createDataFrame(values, "part int, v double")
+    parts = df.groupBy("part").agg(*[F.sum(x).alias(f"l{i}") for i, x in enumerate(money_limbs("v"))])
+    total = parts.select(limbs_total([F.sum(f"l{i}") for i in range(5)]).alias("s")).first().s
+    assert total == df.select(money_sum("v").alias("s")).first().s
