@@ -7,9 +7,9 @@ and is joined with the texts; words it does not tell apart are left to the model
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +35,8 @@ SLICE_BYTES = 2 << 20
 WORD = re.compile(r"[^\W\d_]{1,64}")
 #: Scripts without blanks between words: every two neighbouring letters count as a word.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
-#: Standard deviations by which a word's share of toxic rows has to leave the share of all rows;
-#: only what is beyond counts as evidence.
-WORD_DISCOUNT = 4.0
 #: Log ratios of words are summed as whole numbers of this size, whatever the order of tasks.
 WORD_UNIT = 1e-6
-#: Bits of the filter that keeps words without a ratio out of the join; others that pass do no harm.
-FILTER_BITS = 1 << 24
-#: A frequent word's rows are joined in that many groups.
-SALTS = 16
-
 
 def _symbols() -> np.ndarray:
     """Symbol of each UTF-8 byte: 0 other, 1-26 letters, 27 digits, 28-31 letters beyond ASCII."""
@@ -84,72 +76,100 @@ def words(text: str) -> list[str]:
     ]
 
 
+def word_discount(different: int) -> float:
+    """Standard deviations that chance alone lets one of so many words exceed."""
+    return NormalDist().inv_cdf(1 - 0.5 / max(different, 1))
+
+
 def word_ratios(counted: DataFrame) -> DataFrame:
-    """``word``, ``ratio``: log P(toxic | word) / P(ordinary | word) against all rows, in WORD_UNIT.
+    """``word``, ``ratio`` of every word: log P(word | toxic) / P(word | ordinary), in WORD_UNIT.
 
     ``counted``: ``toxic``, ``word``, ``n`` rows that hold the word; the empty word stands for all rows.
-    The expected number of toxic rows backs off to the share over all rows: a discount of WORD_DISCOUNT
-    standard deviations is taken off each difference, and words with nothing left have no ratio.
+    Each class's count backs off to what the counts shared by both classes let expect for it: a discount is
+    taken off the difference and given back to the shared count. A word with nothing left is as likely in both, ratio 0.
+    The discount follows from the number of different words: what chance alone would reach among so many.
     """
     total = {r.toxic: r.n for r in counted.where("word = ''").select("toxic", "n").collect()}
     p = total[1] / (total[0] + total[1])
+    known = counted.where("word <> ''")
+    discount = word_discount(known.agg(F.count_distinct("word")).first()[0])
     m, t = F.col("m"), F.col("t")
     gap = t - p * m
-    left = F.abs(gap) - WORD_DISCOUNT * F.sqrt(p * (1 - p) * m)
+    left = F.greatest(F.abs(gap) - discount * F.sqrt(p * (1 - p) * m), F.lit(0.0))
     moved = p * m + F.signum(gap) * left
     ratio = F.log(moved / (m - moved) * ((1 - p) / p))
     return (
-        counted.where("word <> ''")
-        .groupBy("word")
+        known.groupBy("word")
         .agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("toxic")).alias("t"))
-        .where(left > 0)
-        .select("word", F.round(ratio / WORD_UNIT).cast("long").alias("ratio"))
+        .select("word", F.when(left > 0, F.round(ratio / WORD_UNIT)).otherwise(0).cast("long").alias("ratio"))
     )
 
 
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per slice of 2 MB, its different words by place, and which places each row holds how often."""
+    for b in shards(batches, SLICE_BYTES):
+        rows = b.column(0).to_numpy()
+        place: dict[str, int] = {}
+        at, times, sizes = [], [], []
+        for text in b.column(1).to_pylist():
+            held = Counter(words(text))
+            at.extend(place.setdefault(w, len(place)) for w in held)
+            times.extend(held.values())
+            sizes.append(len(held))
+        blobs = [rows.astype("<i8"), np.array(sizes, "<i4"), np.array(at, "<i4"), np.array(times, "<i4")]
+        n = len(place)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n + 1, rows[0], np.int64)),
+                pa.array([*place.values(), None], pa.int32()),
+                pa.array([*place, None], pa.string()),
+                *(pa.array([None] * n + [x.tobytes()], pa.binary()) for x in blobs),
+            ],
+            names=["slice", "place", "word", "rows", "sizes", "at", "times"],
+        )
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of ratio times occurrences of each row of a slice."""
+    for b in batches:
+        for said, *blobs in zip(*(b.column(c) for c in ("said", "rows", "sizes", "at", "times"))):
+            rows, sizes, at, times = (np.frombuffer(x.as_py(), t) for x, t in zip(blobs, ("<i8", "<i4", "<i4", "<i4")))
+            ratio = np.zeros(int(at.max(initial=-1)) + 1, np.int64)
+            if said.is_valid:
+                found = said.values
+                ratio[found.field("place").to_numpy()] = found.field("ratio").to_numpy()
+            upto = np.concatenate([[0], np.cumsum(ratio[at] * times)])
+            ends = np.cumsum(sizes)
+            total = upto[ends] - upto[ends - sizes]
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(total)], names=["row", "said"])
+
+
 def word_evidence(rows: DataFrame, ratios: DataFrame, row: str) -> DataFrame:
-    """``row``, ``said``: sum of the ratios of all words of a text; rows without such a word are left out.
+    """``row``, ``said``: sum of the ratios of all words of a text, occurrences counted.
 
-    ``rows``: the number ``row`` and ``text``. Each slice of 2 MB lists the places of a word once, so
-    that a frequent word is no large group; only words that pass a filter of fixed size are joined.
+    ``rows``: the number ``row`` and ``text``. A slice of 2 MB tells each of its words once, to be joined with the
+    ratios, and adds up its rows by itself: no row per word and text, and no word is a large group, as
+    it has one row among the thousands of a slice's words.
     """
-    spark = rows.sparkSession
-    bits = np.zeros(FILTER_BITS, np.uint8)
-    places = ratios.select((F.crc32(F.col("word").cast("binary")) % FILTER_BITS).alias("bit")).distinct().toArrow()
-    bits[places["bit"].to_numpy()] = 1
-    held = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
-    where = pa.list_(pa.struct([("row", pa.int64()), ("n", pa.int64())]))
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing = held.value
-        for nth, b in enumerate(shards(batches, SLICE_BYTES)):
-            found: dict[str, list | None] = {}
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for word, n in Counter(words(text)).items():
-                    if word not in found:
-                        bit = zlib.crc32(word.encode()) % FILTER_BITS
-                        found[word] = [] if passing[bit >> 3] >> (bit & 7) & 1 else None
-                    if found[word] is not None:
-                        found[word].append({"row": i, "n": n})
-            kept = {w: x for w, x in found.items() if x is not None}
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(kept), pa.string()),
-                    pa.array(np.full(len(kept), nth % SALTS, np.int32)),
-                    pa.array(list(kept.values()), where),
-                ],
-                names=["word", "salt", "places"],
-            )
-
-    found = rows.select(F.col(row).alias("row"), "text").mapInArrow(
-        find, "word string, salt int, places array<struct<row: bigint, n: bigint>>"
+    indexed = materialize(
+        rows.select(F.col(row).alias("row"), "text").mapInArrow(
+            _index, "slice long, place int, word string, rows binary, sizes binary, at binary, times binary"
+        ),
+        "slices",
+    )
+    said = (
+        indexed.where("word IS NOT NULL")
+        .select("slice", "place", "word")
+        .join(ratios, "word")
+        .groupBy("slice")
+        .agg(F.collect_list(F.struct("place", "ratio")).alias("said"))
     )
-    salted = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    slices = indexed.where("word IS NULL").drop("place", "word")
     return (
-        found.join(salted, ["word", "salt"])
-        .select("ratio", F.inline("places"))
-        .groupBy(F.col("row").alias(row))
-        .agg(F.sum(F.col("ratio") * F.col("n")).alias("said"))
+        slices.join(said, "slice", "left")
+        .select("said", "rows", "sizes", "at", "times")
+        .mapInArrow(_add_up, "row long, said long")
+        .withColumnRenamed("row", row)
     )
 
 
@@ -342,9 +362,13 @@ def numbered(docs: DataFrame, row: str) -> DataFrame:
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """The documents with a score from 0 to 1 appended. Null text counts as empty and gets a score, too.
 
+    Runs of more than 64 letters count as several words. A column of the name ``out`` is an error.
+
     The documents are read twice, for their words and for the rest, and must come in the same splits
     and order both times, as tables do.
     """
+    if out in docs.columns:
+        raise ValueError(f"there is a column {out!r} already")
     table = docs.sparkSession.sparkContext.broadcast(model.ratios)
     slope, offset = model.slope, model.offset
     place = docs.columns.index(text_col)

@@ -80,3 +80,32 @@ def test_only_picked_rows_are_left_out_of_the_counts(spark, sf_dir):
         if r not in picked:
             np.add.at(counts[1 if r.toxic else 0], expressions((r.text or "").encode()), 1)
     assert (train(docs, labels, calibration_rows=3).ratios == log_ratios(counts)).all()
+
+
+def test_word_evidence_row_by_row(spark, odd, monkeypatch):
+    """Every row's sum against the plain one, over slices of a few rows."""
+    from shopgrain.llm import toxicity
+
+    texts = [(i, t or "") for i, (_, t) in enumerate((r.doc_id, r.text) for r in odd.collect())]
+    texts += [(100 + i, "a b b c " * (i % 4) + "naïve scum " * (i % 3)) for i in range(50)]
+    rows = spark.createDataFrame(texts, "row long, text string").repartition(3)
+    ratio = {"a": 5, "b": -7, "naïve": 11, "lorem": 1, "never": 99, "c": 0}
+    table = spark.createDataFrame(list(ratio.items()), "word string, ratio long")
+    want = {i: sum(ratio.get(w, 0) for w in words(t)) for i, t in texts}
+    for size in (40, toxicity.SLICE_BYTES):
+        monkeypatch.setattr(toxicity, "SLICE_BYTES", size)
+        assert {r.row: r.said for r in toxicity.word_evidence(rows, table, "row").collect()} == want
+    assert toxicity.word_evidence(rows, table.limit(0), "row").where("said <> 0").count() == 0
+
+
+def test_word_ratios_back_off_to_shared_counts(spark):
+    import math
+
+    from shopgrain.llm.toxicity import WORD_UNIT, word_discount, word_ratios
+
+    counts = [(0, "", 900), (1, "", 100), (1, "rude", 60), (0, "the", 810), (1, "the", 91), (0, "once", 1), (0, "kind", 90)]
+    got = {r.word: r.ratio for r in word_ratios(spark.createDataFrame(counts, "toxic int, word string, n long")).collect()}
+    assert got["the"] == got["once"] == 0 and set(got) == {"rude", "the", "once", "kind"}
+    gap = 60 - 6 - word_discount(4) * math.sqrt(0.09 * 60)
+    assert got["rude"] == round(math.log((6 + gap) / (54 - gap) * 9) / WORD_UNIT)
+    assert got["kind"] < 0
