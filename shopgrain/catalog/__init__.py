@@ -8,6 +8,7 @@ from shopgrain.catalog import (  # noqa: F401
     models,
     quality_checks,
     relational,
+    silver_streams,
     stream_queries,
 )
 from shopgrain.catalog.registry import REGISTRY, Query  # noqa: F401

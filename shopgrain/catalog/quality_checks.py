@@ -65,23 +65,23 @@ DECLARED = {
 }
 
 
-def _picked(feed: str, letters: str) -> str:
+def picked(feed: str, letters: str) -> str:
     return f"substr(md5({schemas.KEYS[feed]}), 1, {len(letters)}) = '{letters}'"
 
 
 def broken_feed(t: Retail, feed: str) -> DataFrame:
     rows = t.bronze(feed)
     return rows.withColumns(
-        {c: F.expr(f"CASE WHEN {_picked(feed, x)} THEN {v} ELSE {c} END") for x, c, v in BROKEN[feed]}
+        {c: F.expr(f"CASE WHEN {picked(feed, x)} THEN {v} ELSE {c} END") for x, c, v in BROKEN[feed]}
     )
 
 
-def _declared_sql(only: str | None, line) -> str:
+def declared_sql(only: str | None, line) -> str:
     """Counts from the predicates told again for the broken rows: all null keys are one row."""
     parts = []
     for feed, (rules, _) in DECLARED.items():
         key = schemas.KEYS[feed]
-        by_column = {c: _picked(feed, x) for x, c, _ in BROKEN[feed]}
+        by_column = {c: picked(feed, x) for x, c, _ in BROKEN[feed]}
         null_key = by_column[key]
         total = f"(count(*) FILTER (NOT {null_key}) + max(({null_key})::INT))::BIGINT"
         for rule in rules:
@@ -103,14 +103,14 @@ def declared_report(t: Retail, action: str | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-@query("expect_warn", _declared_sql("warn", lambda r, failed, n: f"SELECT '{r.name}' AS rule, {failed} AS failed"))
+@query("expect_warn", declared_sql("warn", lambda r, failed, n: f"SELECT '{r.name}' AS rule, {failed} AS failed"))
 def expect_warn(t: Retail):
     return declared_report(t, "warn").select("rule", "failed")
 
 
 @query(
     "expectation_report",
-    _declared_sql(
+    declared_sql(
         None,
         lambda r, failed, n: f"SELECT '{r.name}' AS rule, '{r.action}' AS action, {n} - {failed} AS passed, "
         f"{failed} AS failed, {failed if r.action == 'drop' else '0::BIGINT'} AS dropped",

@@ -35,24 +35,19 @@ def _all_hold(rules: Iterable[Rule]) -> Column:
     return reduce(lambda a, b: a & b, [r.holds() for r in rules if r.action == "drop"], F.lit(True))
 
 
-def kept_rows(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    return df.where(_all_hold(rules))
+def broken_rules(rules: Iterable[Rule]) -> Column:
+    """The names of the dropping rules that a row breaks."""
+    return F.array_compact(F.array(*[F.when(~r.holds(), F.lit(r.name)) for r in rules if r.action == "drop"]))
 
 
-def quarantined_rows(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """The rows ``kept_rows`` leaves out, with the names of the dropping rules they break."""
-    dropping = [r for r in rules if r.action == "drop"]
-    broken = F.array_compact(F.array(*[F.when(~r.holds(), F.lit(r.name)) for r in dropping]))
-    return df.where(~_all_hold(dropping)).withColumn(FAILED_RULES, broken)
+def rule_counts(rules: Iterable[Rule]) -> list[Column]:
+    """``total`` and one ``failed_<place>`` per rule, as aggregates."""
+    failed = [F.count_if(~r.holds()).alias(f"failed_{i}") for i, r in enumerate(rules)]
+    return [F.count(F.lit(1)).alias("total"), *failed]
 
 
-def expectation_report(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """One row per rule, all rules counted in one pass over the data."""
-    rules = list(rules)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(~r.holds()).alias(f"failed_{i}") for i, r in enumerate(rules)],
-    )
+def rule_lines(rules: Iterable[Rule]) -> Column:
+    """The lines of a report from the counts above."""
     lines = [
         F.struct(
             F.lit(r.name).alias("rule"),
@@ -63,7 +58,23 @@ def expectation_report(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
         )
         for i, r in enumerate(rules)
     ]
-    return counts.select(F.inline(F.array(*lines)))
+    return F.inline(F.array(*lines))
+
+
+def kept_rows(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    return df.where(_all_hold(rules))
+
+
+def quarantined_rows(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    """The rows ``kept_rows`` leaves out, with the names of the dropping rules they break."""
+    rules = list(rules)
+    return df.where(~_all_hold(rules)).withColumn(FAILED_RULES, broken_rules(rules))
+
+
+def expectation_report(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    """One row per rule, all rules counted in one pass over the data."""
+    rules = list(rules)
+    return df.agg(*rule_counts(rules)).select(rule_lines(rules))
 
 
 def apply_expectations(df: DataFrame, rules: Iterable[Rule]) -> Checked:

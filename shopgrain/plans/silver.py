@@ -1,7 +1,7 @@
 """Cleaned, typed, keyed tables built from the raw feeds.
 
-Two families: the plain cleaners, and the ``*_expect`` variants, which reduce to one row per
-key first and leave bad rows to the quality rules.
+Two families: the plain cleaners, and those that leave bad rows to the quality rules: ``checkable_*`` types
+and adds columns row by row, for batches and streams alike, ``expect_*`` reduces a batch to one row per key first.
 """
 
 from __future__ import annotations
@@ -147,11 +147,11 @@ def _one_row_per_key(bronze: DataFrame, key: str) -> DataFrame:
     return latest_per_key(bronze, [key], [F.desc_nulls_last("_ingested_at")])
 
 
-def expect_orders(bronze: DataFrame, batch_ts: Column) -> DataFrame:
+def checkable_orders(bronze: DataFrame, batch_ts: Column) -> DataFrame:
     profit = as_money("net_amount") - as_money("gross_amount") * F.lit(
         str(ASSUMED_COST_SHARE)
     ).cast("decimal(2,1)")
-    return _one_row_per_key(bronze, "order_id").withColumns(
+    return bronze.withColumns(
         {
             "order_date": to_day("order_date"),
             "discount_pct": F.col("discount_pct").try_cast("double"),
@@ -162,8 +162,8 @@ def expect_orders(bronze: DataFrame, batch_ts: Column) -> DataFrame:
     )
 
 
-def expect_customers(bronze: DataFrame) -> DataFrame:
-    return _one_row_per_key(bronze, "customer_id").withColumns(
+def checkable_customers(bronze: DataFrame) -> DataFrame:
+    return bronze.withColumns(
         {
             "join_date": to_day("join_date"),
             "is_active": to_bool("is_active"),
@@ -173,9 +173,9 @@ def expect_customers(bronze: DataFrame) -> DataFrame:
     )
 
 
-def expect_products(bronze: DataFrame) -> DataFrame:
+def checkable_products(bronze: DataFrame) -> DataFrame:
     margin = as_money("retail_price") - as_money("cost_price")
-    return _one_row_per_key(bronze, "product_id").withColumns(
+    return bronze.withColumns(
         {
             "is_active": to_bool("is_active"),
             "margin_pct": rounded(ratio(margin, "retail_price"), 4),
@@ -183,10 +183,26 @@ def expect_products(bronze: DataFrame) -> DataFrame:
     )
 
 
-def expect_inventory(bronze: DataFrame) -> DataFrame:
-    return _one_row_per_key(bronze, "inventory_id").withColumns(
+def checkable_inventory(bronze: DataFrame) -> DataFrame:
+    return bronze.withColumns(
         {
             "snapshot_date": to_day("snapshot_date"),
             "is_below_reorder": to_bool("is_below_reorder"),
         }
     )
+
+
+def expect_orders(bronze: DataFrame, batch_ts: Column) -> DataFrame:
+    return checkable_orders(_one_row_per_key(bronze, "order_id"), batch_ts)
+
+
+def expect_customers(bronze: DataFrame) -> DataFrame:
+    return checkable_customers(_one_row_per_key(bronze, "customer_id"))
+
+
+def expect_products(bronze: DataFrame) -> DataFrame:
+    return checkable_products(_one_row_per_key(bronze, "product_id"))
+
+
+def expect_inventory(bronze: DataFrame) -> DataFrame:
+    return checkable_inventory(_one_row_per_key(bronze, "inventory_id"))
