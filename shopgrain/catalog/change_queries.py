@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from shopgrain.catalog.reference_sql import BATCH_TS, LOADS, with_layers
 from shopgrain.catalog.registry import query
-from shopgrain.operators import changes
+from shopgrain.operators import changes, merge
 from shopgrain.operators.changes import cdc_tag
 from shopgrain.plans import silver, star
 from shopgrain.plans.daily import snapshot
 from shopgrain.plans.declared import SNAPSHOT_CHECKS
+from shopgrain.session import scratch_path
 from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, as_text, ntz
 
 CDC_TS = "2001-08-03 00:00:00"
@@ -102,6 +103,24 @@ def merge_upsert(t: Retail):
     )
 
 
+@query(
+    "merge_partitions",
+    with_layers(
+        f"{CHANGED} UNION ALL SELECT * FROM silver_orders WHERE NOT (({SHIPPED}) OR {NEW})",
+        "silver_orders",
+    ),
+)
+def merge_partitions(t: Retail):
+    """As ``merge_upsert``, into a table by month: earlier months than the batch's are not rewritten."""
+    known = known_orders(t)
+    path = scratch_path(t.spark, "orders_by_month")
+    known.hint("rebalance", "order_month_key").write.partitionBy("order_month_key").parquet(path)
+    merge.merge_partitions(
+        t.spark, path, conformed_batch(t), ["order_id"], "order_month_key", [F.desc("_ingested_at")]
+    )
+    return merge.read_partitioned(t.spark, path, known)
+
+
 @query(
     "merge_update_columns",
     with_layers(f"SELECT * FROM silver_orders WHERE NOT {NEW}", "silver_orders"),

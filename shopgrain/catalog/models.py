@@ -22,7 +22,7 @@ from shopgrain.operators.quality import kept_rows
 from shopgrain.plans import daily, gold, silver, star
 from shopgrain.plans.declared import SILVER_TESTS
 from shopgrain.session import materialize, scratch_path
-from shopgrain.sources.conform import Retail, as_text
+from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, as_text, ntz
 
 
 def latest_by(key: str, table: str) -> str:
@@ -241,3 +241,14 @@ def daily_refresh(t: Retail):
         for name in tables
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+@query("daily_refresh_incremental", layer("gold_daily_sales"))
+def daily_refresh_incremental(t: Retail):
+    """The first load, then a second run that merges the rows loaded since: the daily report, row by row."""
+    bronze = {f: t.bronze(f) for f in ("orders", "customers", "products", "inventory")}
+    early = {f: rows.where(F.col("_ingested_at") == ntz(FIRST_LOAD_TS)) for f, rows in bronze.items()}
+    first, second = (scratch_path(t.spark, n) for n in ("daily-first", "daily-second"))
+    daily.refresh(t.spark, early, first, t.as_of, t.batch_ts)
+    daily.refresh(t.spark, bronze, second, t.as_of, t.batch_ts, previous=first)
+    return t.spark.read.parquet(f"{second}/gold_daily_sales")

@@ -19,6 +19,8 @@ WHOLE_BITS = 20
 PART_BITS = 17
 #: Decimals that an exact sum keeps of each value unless told otherwise.
 SUM_SCALE = 10
+#: Decimals of a total. What lies beyond is what doubles of a million and more cannot tell.
+TOTAL_SCALE = 6
 MAX_SUMMAND = 1e18
 
 
@@ -68,22 +70,22 @@ def money_limbs(c: Column | str, scale: int = SUM_SCALE) -> list[Column]:
 
 
 def limbs_total(limbs: list[Column], scale: int = SUM_SCALE) -> Column:
-    """The number that summed limbs stand for, as DECIMAL(38, scale)."""
+    """The number that summed limbs stand for, rounded to TOTAL_SCALE decimals, as DECIMAL(38, scale)."""
     high, middle, low, upper, lower = (c.cast("decimal(19,0)") for c in limbs)
     # Every step is cast to what it can need: beyond 38 digits Spark would give up decimals.
     base = F.lit(2**WHOLE_BITS).cast("decimal(7,0)")
     whole = ((high * base + middle).cast("decimal(28,0)") * base + low).cast(f"decimal(36,{scale})")
     units = (upper * F.lit(2**PART_BITS).cast("decimal(6,0)") + lower).cast("decimal(27,0)")
     part = units * F.lit(f"1e-{scale}").cast(f"decimal({scale},{scale})")
-    return (whole + part.cast(f"decimal(36,{scale})")).cast(f"decimal(38,{scale})")
+    total = whole + part.cast(f"decimal(36,{scale})")
+    return F.round(total, TOTAL_SCALE).cast(f"decimal(38,{scale})")
 
 
 def money_sum(c: Column | str, scale: int = SUM_SCALE) -> Column:
     """Exact sum of numbers rounded to ``scale`` decimals each (half up), as DECIMAL(38, scale).
 
     Added up limb by limb: independent of the order of tasks, cheaper than adding DECIMAL values, and
-    good for 2**43 rows a group. Doubles have about 16 digits, so a scale of 10 is beyond what amounts
-    of a million and more can hold. A value of 1e18 or more in size, infinity included, is an error; so is
+    good for 2**43 rows a group. The total is rounded to TOTAL_SCALE decimals. A value of 1e18 or more in size, infinity included, is an error; so is
     a total of 1e26 or more. NaN counts as null.
     """
     return limbs_total([F.sum(limb) for limb in money_limbs(c, scale)], scale)

@@ -113,7 +113,8 @@ def test_exact_sums_and_means(spark):
     assert sums([0.1] * 3).s == Decimal("0.3") and sums([-0.005, -1.5]).s == Decimal("-1.505")
     assert sums([0.12345, 1.0], 2).s == Decimal("1.12")
     assert sums([10.0, 20.0, float("nan"), None]).m == 15.0
-    assert sums([1e15 + 0.5, 1e-10, 2e-10]).s == Decimal("1000000000000000.5000000003")
+    assert sums([1e15 + 0.5] + [1e-7] * 10).s == Decimal("1000000000000000.500001")
+    assert sums([1792036.79, 1.01]).s == Decimal("1792037.8")
     empty = sums([None, float("nan")])
     assert empty.s is None and empty.m is None
     for bad in (float("inf"), -float("inf"), 1e18):
@@ -130,7 +131,8 @@ def test_sums_of_a_billion_rows(spark):
         spark.range(1).select(limbs_total(limbs).alias("s")).first()  # 1e31: beyond DECIMAL(38, 10)
     total = spark.range(1).select(limbs_total([F.lit(0), *limbs[1:]]).alias("s")).first().s
     units = 10**10 * 2**43 * (2**40 - 1) + 2**43 * (2**34 - 1)
-    assert total == Decimal(units).scaleb(-10, Context(prec=60))
+    wide = Context(prec=60)
+    assert total == Decimal(units).scaleb(-10, wide).quantize(Decimal("1e-6"), context=wide)
 
 
 def test_limb_sums_of_parts_add_up(spark):
