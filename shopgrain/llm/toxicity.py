@@ -7,6 +7,7 @@ and is joined with the texts; words it does not tell apart are left to the model
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from statistics import NormalDist
@@ -36,7 +37,9 @@ WORD = re.compile(r"[^\W\d_]{1,64}")
 #: Scripts without blanks between words: every two neighbouring letters count as a word.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
 #: Log ratios of words are summed as whole numbers of this size, whatever the order of tasks.
-WORD_UNIT = 1e-6
+WORD_UNIT = 1e-6#: Bits of the filter that keeps words without a ratio out of the join; others that pass do no harm.
+FILTER_BITS = 1 << 24
+
 
 def _symbols() -> np.ndarray:
     """Symbol of each UTF-8 byte: 0 other, 1-26 letters, 27 digits, 28-31 letters beyond ASCII."""
@@ -105,23 +108,36 @@ def word_ratios(counted: DataFrame) -> DataFrame:
     )
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per slice of 2 MB, its different words by place, and which places each row holds how often."""
+def _bit(word: str) -> int:
+    return zlib.crc32(word.encode()) % FILTER_BITS
+
+
+def _index(batches: Iterator[pa.RecordBatch], passing: bytes) -> Iterator[pa.RecordBatch]:
+    """Per slice of 2 MB, its different words that pass by place, and which places each row holds how often."""
     for b in shards(batches, SLICE_BYTES):
         rows = b.column(0).to_numpy()
-        place: dict[str, int] = {}
+        seen: dict[str, int] = {}  # place of a word, -1 for one that doesn't pass
+        place: list[str] = []
         at, times, sizes = [], [], []
         for text in b.column(1).to_pylist():
-            held = Counter(words(text))
-            at.extend(place.setdefault(w, len(place)) for w in held)
-            times.extend(held.values())
-            sizes.append(len(held))
+            size = len(at)
+            for word, n in Counter(words(text)).items():
+                if word not in seen:
+                    bit = _bit(word)
+                    passes = passing[bit >> 3] >> (bit & 7) & 1
+                    seen[word] = len(place) if passes else -1
+                    if passes:
+                        place.append(word)
+                if seen[word] >= 0:
+                    at.append(seen[word])
+                    times.append(n)
+            sizes.append(len(at) - size)
         blobs = [rows.astype("<i8"), np.array(sizes, "<i4"), np.array(at, "<i4"), np.array(times, "<i4")]
         n = len(place)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(n + 1, rows[0], np.int64)),
-                pa.array([*place.values(), None], pa.int32()),
+                pa.array([*range(n), None], pa.int32()),
                 pa.array([*place, None], pa.string()),
                 *(pa.array([None] * n + [x.tobytes()], pa.binary()) for x in blobs),
             ],
@@ -148,12 +164,18 @@ def word_evidence(rows: DataFrame, ratios: DataFrame, row: str) -> DataFrame:
     """``row``, ``said``: sum of the ratios of all words of a text, occurrences counted.
 
     ``rows``: the number ``row`` and ``text``. A slice of 2 MB tells each of its words once, to be joined with the
-    ratios, and adds up its rows by itself: no row per word and text, and no word is a large group, as
-    it has one row among the thousands of a slice's words.
+    ratios, and adds up its rows by itself: no row per word and text, and a word has at most one row
+    a slice. Words of ratio 0 add nothing and are kept out by a filter of fixed size.
     """
+    ratios = ratios.where("ratio <> 0")
+    bits = np.zeros(FILTER_BITS, np.uint8)
+    places = ratios.select((F.crc32(F.col("word").cast("binary")) % FILTER_BITS).alias("bit")).distinct().toArrow()
+    bits[places["bit"].to_numpy()] = 1
+    held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
     indexed = materialize(
         rows.select(F.col(row).alias("row"), "text").mapInArrow(
-            _index, "slice long, place int, word string, rows binary, sizes binary, at binary, times binary"
+            lambda batches: _index(batches, held.value),
+            "slice long, place int, word string, rows binary, sizes binary, at binary, times binary",
         ),
         "slices",
     )
