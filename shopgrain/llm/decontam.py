@@ -89,7 +89,7 @@ def suffix_array(ranks: np.ndarray, depth: int = DEPTH) -> np.ndarray:
 class Shard:
     """Suffix array over the words of some documents; -1 stands after each document."""
 
-    def __init__(self, words: Words):
+    def __init__(self, words: Words, depth: int = DEPTH):
         self.words = words
         n_docs = len(words.first) - 1
         vocabulary, codes = np.unique(words.hash, return_inverse=True)
@@ -101,7 +101,7 @@ class Shard:
         self.text[self.place] = codes + 1
         self.word_at = np.full(len(self.text), -1, np.int64)
         self.word_at[self.place] = np.arange(len(codes))
-        order = suffix_array(self.text)
+        order = suffix_array(self.text, depth)
         self.order = order[self.text[order] > 0]
 
     def find(self, query: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +227,7 @@ def contamination(
         for b in shards(batches, SHARD_BYTES, text_col):
             texts = b.column(place).cast(pa.large_binary()).fill_null(b"")
             words = Words(*flat(texts))
-            shard = Shard(words)
+            shard = Shard(words, max(DEPTH, window))
             per = [{"items": set(), "hits": {}} for _ in range(b.num_rows)]
             hit = np.zeros(len(words.start) + 1, np.int64)
             for block in sent:

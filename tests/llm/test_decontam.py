@@ -76,3 +76,13 @@ def test_suffix_array(seed):
     order = suffix_array(text, 16)
     keys = [tuple(text[i : i + 16]) for i in order]
     assert keys == sorted(keys) and sorted(order) == list(range(400))
+
+
+@pytest.mark.parametrize("window", [17, 20, 40])
+def test_windows_deeper_than_the_default_order(spark, docs_of, window):
+    """Items that share their first 16 words and more, each of them in a document of its own."""
+    texts = [" ".join(["a"] * 16 + [f"w{i // 5}"] * 3 + [f"x{i}"] + ["b"] * 40) for i in range(60)]
+    items = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "item_id string, text string")
+    docs = docs_of([(i, f"start{i} {t} end") for i, t in enumerate(texts)])
+    found = contamination(docs, items, window=window).select("doc_id", "__found.n_hit", "__found.items").collect()
+    assert all(r.n_hit == 60 and str(r.doc_id) in r["items"] for r in found)
