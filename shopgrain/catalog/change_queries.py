@@ -7,14 +7,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.catalog.reference_sql import BATCH_TS, LOADS, with_layers
+from shopgrain.catalog.reference_sql import BATCH_TS, LOADS, layer, with_layers
 from shopgrain.catalog.registry import query
-from shopgrain.operators import changes, merge
+from shopgrain.operators import changes, increments, merge
 from shopgrain.operators.changes import cdc_tag
-from shopgrain.plans import silver, star
+from shopgrain.plans import gold, silver, star
 from shopgrain.plans.daily import snapshot
 from shopgrain.plans.declared import SNAPSHOT_CHECKS
-from shopgrain.session import scratch_path
+from shopgrain.session import materialize, scratch_path
 from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, as_text, ntz
 
 CDC_TS = "2001-08-03 00:00:00"
@@ -121,6 +121,24 @@ def merge_partitions(t: Retail):
     return merge.read_partitioned(t.spark, path, known)
 
 
+def sold(t: Retail, orders: DataFrame) -> DataFrame:
+    """What the daily report reads of the fact rows of some orders."""
+    lines = star.with_product(star.order_lines(orders), t.dim_product, as_text(t.hot_products))
+    return lines.select(*gold.DAILY_COLUMNS)
+
+
+@query("gold_daily_sales_refreshed", layer("gold_daily_sales"))
+def gold_daily_sales_refreshed(t: Retail):
+    """The daily report of the known orders, brought up to date with the change batch only."""
+    root = scratch_path(t.spark, "daily-state")
+    known = materialize(sold(t, known_orders(t)), "known-fact")
+    increments.build(known, gold.DAILY_STATE, root)
+    batch = materialize(sold(t, conformed_batch(t)), "batch-fact")
+    moved = increments.images(known, batch, ["order_id"])
+    increments.refresh(t.spark, root, moved, gold.DAILY_STATE, "since-known")
+    return gold.daily_sales_of(increments.read_totals(t.spark, root))
+
+
 @query(
     "merge_update_columns",
     with_layers(f"SELECT * FROM silver_orders WHERE NOT {NEW}", "silver_orders"),

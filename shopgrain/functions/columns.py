@@ -42,7 +42,7 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
 
 
-def _known(c: Column) -> Column:
+def known_value(c: Column) -> Column:
     """Values that count: NaN is missing, in sums, counts and means alike."""
     return F.when(~F.isnan(c.cast("double")), c)
 
@@ -53,7 +53,7 @@ def money_limbs(c: Column | str, scale: int = SUM_SCALE) -> list[Column]:
     Three hold the integer part, two the fraction. Their BIGINT sums cannot overflow below 2**43 rows, and
     limb sums of parts of a group add up to those of the whole.
     """
-    value = _known(_col(c)).cast("double")
+    value = known_value(_col(c)).cast("double")
     value = F.when(
         F.abs(value) >= MAX_SUMMAND, F.raise_error(F.lit("value out of range for an exact sum"))
     ).otherwise(value)
@@ -93,7 +93,7 @@ def money_sum(c: Column | str, scale: int = SUM_SCALE) -> Column:
 
 def money_count(c: Column | str) -> Column:
     """How many values ``money_sum`` adds up."""
-    return F.count(_known(_col(c)))
+    return F.count(known_value(_col(c)))
 
 
 def mean_money(c: Column | str, scale: int = SUM_SCALE) -> Column:

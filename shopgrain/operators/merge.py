@@ -9,7 +9,7 @@ from shopgrain.operators.changes import latest_per_key
 from shopgrain.session import delete_path, materialize
 
 
-def _within(by: str, values: list) -> Column:
+def within(by: str, values: list) -> Column:
     known = F.col(by).isin([v for v in values if v is not None])
     return (known | F.col(by).isNull()) if None in values else known
 
@@ -31,7 +31,7 @@ def touched_partitions(target: DataFrame, changes: DataFrame, keys: list[str], b
 def merged_image(target: DataFrame, changes: DataFrame, keys: list[str], by: str, touched: list) -> DataFrame:
     """The touched partitions after the merge. Changed rows leave, the batch comes in; no row of the
     target is shuffled for a batch that can be broadcast."""
-    staying = target.where(_within(by, touched)).join(changes.select(*keys), keys, "left_anti")
+    staying = target.where(within(by, touched)).join(changes.select(*keys), keys, "left_anti")
     return staying.unionByName(changes)
 
 
@@ -42,11 +42,12 @@ def merge_partitions(
     keys: list[str],
     by: str,
     order: list[Column] | None = None,
+    deleted: Column | None = None,
 ) -> list:
     """Merge ``source`` into the table at ``path``, partitioned by ``by``; returns the partitions rewritten.
 
     ``source`` has the table's columns; several rows of a key are reduced to the first by ``order``. Rows with a null key
-    match nothing. A changed row may move to another partition. The new partitions are written beside the old ones and
+    match nothing. Rows for which ``deleted`` holds only take their key's row away. A changed row may move to another partition. The new partitions are written beside the old ones and
     take their place when all are complete; a merge that failed may simply be run again, as it then
     ends in the same table. A reader that is at work meanwhile may see old and new partitions.
     """
@@ -55,12 +56,13 @@ def merge_partitions(
     touched = touched_partitions(target, changes, keys, by)
     if not touched:
         return []
-    image = materialize(merged_image(target, changes, keys, by, touched), "touched")
+    image = merged_image(target, changes, keys, by, touched)
+    image = materialize(image if deleted is None else image.where(~deleted), "touched")
     left = {r[0] for r in image.select(by).distinct().collect()}
     emptied = [v for v in touched if v not in left]
     if emptied:
         file = F.col("_metadata.file_path")
-        rows = spark.read.schema(source.schema).parquet(path).where(_within(by, emptied))
+        rows = spark.read.schema(source.schema).parquet(path).where(within(by, emptied))
         folders = rows.select(F.regexp_extract(file, "^(.*)/[^/]*$", 1)).distinct().collect()
     image.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         by

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shopgrain.functions import as_money, money_sum, ratio, rounded
 from shopgrain.functions.columns import money_count
 from shopgrain.functions.labels import rfm_segment, stock_status
+from shopgrain.operators import increments
 from shopgrain.operators.changes import latest_per_key
 from shopgrain.operators.distinct import totals_with_counts
 from shopgrain.operators.joins import lookup_join
@@ -61,7 +62,6 @@ def daily_sales(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
 
     ``fact`` is read once for the sums and once per distinct count: pass a written table.
     """
-    measures = _measures()
     sums = [
         *_sums(),
         money_sum("gross_amount").alias("__gross"),
@@ -72,24 +72,60 @@ def daily_sales(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
         sums.append(_orders(True).alias("total_orders"))
     else:
         counts["total_orders"] = "order_id"
-    return (
-        totals_with_counts(fact, DAILY_KEYS, sums, counts)
-        .select(
-            "order_date",
-            "region",
-            "channel",
-            F.year("order_date").alias("order_year"),
-            F.month("order_date").alias("order_month"),
-            F.date_format("order_date", "yyyy-MM").alias("order_month_key"),
-            "total_orders",
-            "unique_customers",
-            "unique_products",
-            "total_units_sold",
-            _money_total("__gross").alias("total_gross_revenue"),
-            *[measures[m].alias(m) for m in list(measures)[:4]],
-            F.col("__returned").alias("returned_orders"),
-            "cancelled_orders",
-            measures["return_rate_pct"].alias("return_rate_pct"),
+    return _daily_report(totals_with_counts(fact, DAILY_KEYS, sums, counts))
+
+
+def _daily_report(totals: DataFrame) -> DataFrame:
+    measures = _measures()
+    return totals.select(
+        "order_date",
+        "region",
+        "channel",
+        F.year("order_date").alias("order_year"),
+        F.month("order_date").alias("order_month"),
+        F.date_format("order_date", "yyyy-MM").alias("order_month_key"),
+        "total_orders",
+        "unique_customers",
+        "unique_products",
+        "total_units_sold",
+        _money_total("__gross").alias("total_gross_revenue"),
+        *[measures[m].alias(m) for m in list(measures)[:4]],
+        F.col("__returned").alias("returned_orders"),
+        "cancelled_orders",
+        measures["return_rate_pct"].alias("return_rate_pct"),
+    )
+
+
+#: What is kept of the fact so that the daily report can follow its changes. One row per order.
+DAILY_STATE = increments.Summary(
+    keys=DAILY_KEYS,
+    partition="date_format(order_date, 'yyyy-MM')",
+    money=["net_amount", "gross_profit", "gross_margin_pct", "gross_amount"],
+    integers=["quantity", "is_returned", "is_cancelled"],
+    present=["order_id"],
+    distinct=["customer_id", "product_id"],
+)
+
+
+def daily_sales_of(totals: DataFrame) -> DataFrame:
+    """The daily report from kept totals, all or those of changed groups."""
+    kept = totals.where(F.col(increments.ROWS) > 0)
+    return _daily_report(
+        kept.select(
+            *DAILY_KEYS,
+            F.col(increments.ROWS).alias("__rows"),
+            F.col("order_id__n").alias("total_orders"),
+            F.col("customer_id__distinct").alias("unique_customers"),
+            F.col("product_id__distinct").alias("unique_products"),
+            increments.integer("quantity").alias("total_units_sold"),
+            increments.integer("is_returned").alias("__returned"),
+            increments.integer("is_cancelled").alias("cancelled_orders"),
+            increments.money("gross_amount").alias("__gross"),
+            increments.money("net_amount").alias("__net"),
+            increments.money("gross_profit").alias("__profit"),
+            increments.money("gross_margin_pct").alias("__margin"),
+            F.col("net_amount__n").alias("__nets"),
+            F.col("gross_margin_pct__n").alias("__margins"),
         )
     )
 

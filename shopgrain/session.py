@@ -65,6 +65,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove this application's scratch tables from the shared folder."""
     delete_path(spark, f"{shared_dir(spark)}/shopgrain/{spark.sparkContext.applicationId}")
