@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.catalog.reference_sql import rnd, with_layers
 from shopgrain.catalog.registry import query
 from shopgrain.functions import rounded
+from shopgrain.functions.calendar import HOLIDAYS
 from shopgrain.operators import forecast
 from shopgrain.plans import gold
 from shopgrain.session import materialize, scratch_path
@@ -120,29 +123,111 @@ def forecast_evaluate(t: Retail):
     return forecast.evaluate(predicted, test)
 
 
-@query("forecast_fit_predict")
+HOLIDAY_NAMES = [h.replace("'", "''") for h in HOLIDAYS]
+KNOTS = [forecast.CHANGEPOINT_RANGE * k / forecast.CHANGEPOINTS for k in range(1, forecast.CHANGEPOINTS + 1)]
+N_WAVES = 2 * (forecast.YEARLY_ORDER + forecast.WEEKLY_ORDER)
+#: One by the square of each prior, in the order of the features; the constant has none.
+WEIGHTS = [0.0, 0.04, *[100.0] * len(KNOTS), *[0.01] * (N_WAVES + len(HOLIDAYS))]
+
+
+def _angles(period: float, order: int) -> list[str]:
+    waves = [f"day_no * 2e0 * pi() * {n} / {period}e0" for n in range(1, order + 1)]
+    return [f"{f}({a})" for a in waves for f in ("sin", "cos")]
+
+
+def fit_sql(train: str, *layers: str) -> str:
+    """The fit told as linear algebra: normal equations as lists of lists, reduced row by row, twice.
+
+    ``train`` selects series, ds and y, over 33 days a series. Results in whole currency units.
+    """
+    size = len(WEIGHTS)
+    inputs = ["1e0", "t", *[f"greatest(0e0, t - {k!r})" for k in KNOTS]]
+    inputs += _angles(365.25, 10) + _angles(7.0, 3)
+    inputs += [f"(CASE WHEN holiday = '{h}' THEN 1e0 ELSE 0e0 END)" for h in HOLIDAY_NAMES]
+    reduced = f"""SELECT series, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k
+        THEN list_transform(r, lambda v: v / r[k])
+        ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END)"""
+    solve = "".join(
+        f"""system{n} AS (SELECT series, list(list_transform(r, lambda v, j:
+            v + CASE WHEN j = i THEN noise * weights[i] ELSE 0e0 END) ORDER BY i) AS m
+          FROM gram JOIN noise{n} USING (series), (SELECT {WEIGHTS}::DOUBLE[] AS weights) GROUP BY series),
+        step{n}(series, k, m) AS (SELECT series, 1, m FROM system{n} UNION ALL {reduced}
+          FROM step{n} WHERE k <= {size}),
+        beta{n} AS (SELECT series, list_transform(m, lambda r: r[{size + 1}]) AS beta FROM step{n}
+          WHERE k = {size + 1}),
+        noise{n + 1} AS (SELECT series, greatest(avg((v - list_dot_product(x, beta)) ** 2), 1e-9) AS noise
+          FROM feat JOIN beta{n} USING (series) WHERE v IS NOT NULL GROUP BY series),
+        """
+        for n in (1, 2)
+    )
+    z = repr(NormalDist().inv_cdf((1 + forecast.INTERVAL) / 2))
+    body = f"""SELECT * FROM (WITH RECURSIVE train AS ({train}),
+        span AS (SELECT series, MIN(ds) AS d0, MAX(ds) AS d1, MAX(abs(y)) AS size FROM train GROUP BY 1),
+        days AS (SELECT series, ds, y FROM train UNION ALL
+          SELECT series, CAST(d1 + CAST(i AS INTEGER) AS DATE), NULL FROM span, range(1, 91) AS a(i)),
+        told AS (SELECT series, ds, y / size AS v, date_diff('day', DATE '1970-01-01', ds) AS day_no,
+          CAST(date_diff('day', d0, ds) AS DOUBLE) / date_diff('day', d0, d1) AS t, month(ds) AS mo,
+          day(ds) AS da, dayofweek(ds) AS wd FROM days JOIN span USING (series)),
+        feat AS (SELECT series, ds, v, [{", ".join(inputs)}] AS x FROM (SELECT *, {HOLIDAY_SQL} AS holiday FROM told)),
+        gram AS (SELECT series, i, list(s ORDER BY j) AS r FROM (
+            SELECT series, i, j, SUM(a[i] * a[j]) AS s
+            FROM (SELECT series, list_append(x, v) AS a FROM feat WHERE v IS NOT NULL),
+              range(1, {size + 1}) AS p(i), range(1, {size + 2}) AS q(j) GROUP BY ALL) GROUP BY series, i),
+        noise1 AS (SELECT series, greatest(var_pop(v), 1e-9) AS noise FROM feat WHERE v IS NOT NULL GROUP BY series),
+        {solve}
+        ahead AS (SELECT series, ds, list_dot_product(x, beta) * size AS yhat, {z} * sqrt(noise) * size AS margin
+          FROM feat JOIN beta2 USING (series) JOIN noise3 USING (series) JOIN span USING (series) WHERE v IS NULL)
+        SELECT series, ds, round(yhat) AS yhat, round(yhat - margin) AS yhat_lower,
+          round(yhat + margin) AS yhat_upper FROM ahead)"""
+    return with_layers(body, *layers)
+
+
+def whole(predicted: DataFrame) -> DataFrame:
+    """Forecasts in whole currency units, as reported."""
+    return predicted.withColumns({c: F.round(c) for c in ("yhat", "yhat_lower", "yhat_upper")})
+
+
+REPORT = "SELECT ds AS forecast_date, yhat AS predicted_revenue, yhat_lower AS lower_bound, yhat_upper AS upper_bound"
+ONE_FIT = fit_sql("SELECT series, ds, y FROM daily_split WHERE is_train", "daily_split")
+BY_SERIES = """WITH s AS (SELECT concat_ws('|', region, channel) AS series, order_date AS ds,
+      CAST(SUM(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) AS y
+    FROM gold_daily_sales WHERE order_date IS NOT NULL GROUP BY 1, 2),
+  e AS (SELECT series, MAX(ds) AS last, unnest(generate_series(MIN(ds), MAX(ds), INTERVAL 1 DAY)) AS d
+    FROM s GROUP BY series)
+  SELECT e.series, CAST(d AS DATE) AS ds, COALESCE(y, 0.0) AS y
+  FROM e LEFT JOIN s ON e.series = s.series AND CAST(d AS DATE) = s.ds WHERE CAST(d AS DATE) <= last - 30"""
+
+
+@query("forecast_fit_predict", fit_sql(BY_SERIES, "gold_daily_sales"))
 def forecast_fit_predict(t: Retail):
     """90 days ahead for every (region, channel) series."""
     series = forecast.daily_series(gold.daily_revenue(t.order_lines), ["region", "channel"])
     train, _ = forecast.split(forecast.fill_days(materialize(series, "series")))
-    return forecast.fit_predict(train)
+    return whole(forecast.fit_predict(train))
 
 
-@query("forecast_evaluate_fit")
+@query(
+    "forecast_evaluate_fit",
+    f"""SELECT 'all' AS series, COUNT(*) AS n_days, {rnd("AVG(abs(y - yhat))", 2)} AS mae,
+          {rnd("sqrt(AVG((y - yhat) * (y - yhat)))", 2)} AS rmse,
+          {rnd("AVG(abs((y - yhat) / NULLIF(y, 0))) * 100", 4)} AS mape
+        FROM ({ONE_FIT}) JOIN ({with_layers("SELECT ds, y FROM daily_split WHERE NOT is_train", "daily_split")})
+          USING (ds)""",
+)
 def forecast_evaluate_fit(t: Retail):
     train, test = forecast.split(total_series(t))
-    return forecast.evaluate(forecast.fit_predict(train), test)
+    return forecast.evaluate(whole(forecast.fit_predict_one(train)), test)
 
 
-@query("forecast_write")
+@query("forecast_write", f"SELECT series, {REPORT.removeprefix('SELECT ')} FROM ({ONE_FIT})")
 def forecast_write(t: Retail):
     train, _ = forecast.split(total_series(t))
     path = scratch_path(t.spark, "gold_forecast")
-    forecast.as_report(forecast.fit_predict(train)).write.mode("overwrite").parquet(path)
+    forecast.as_report(whole(forecast.fit_predict_one(train))).write.mode("overwrite").parquet(path)
     return t.spark.read.parquet(path)
 
 
-@query("gold_forecast_90day")
+@query("gold_forecast_90day", f"{REPORT} FROM ({ONE_FIT})")
 def gold_forecast_90day(t: Retail):
     train, _ = forecast.split(total_series(t))
-    return forecast.as_report(forecast.fit_predict(train)).drop("series")
+    return forecast.as_report(whole(forecast.fit_predict_one(train))).drop("series")

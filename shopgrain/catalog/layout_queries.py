@@ -68,3 +68,22 @@ PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_order
 )
 def column_statistics(t: Retail):
     return layout.column_statistics(t.table("orders"), list(PROFILED))
+
+
+@query(
+    "column_statistics_sketch",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count, "
+        f"CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value, "
+        f"COUNT(DISTINCT {c}) AS distinct_count, TRUE AS within_bound FROM orders"
+        for c in PROFILED
+    ),
+)
+def column_statistics_sketch(t: Retail):
+    """The one-pass profile, with the exact distinct counts beside and whether the estimates keep their bound."""
+    orders = t.table("orders")
+    told = layout.column_statistics(orders, list(PROFILED), exact=False).withColumnRenamed("distinct_count", "estimate")
+    exact = layout.column_statistics(orders, list(PROFILED)).select("column_name", "distinct_count")
+    off = F.abs(F.col("estimate") - F.col("distinct_count"))
+    close = off <= F.greatest(F.lit(1.0), F.col("distinct_count") * layout.SKETCH_ERROR)
+    return told.join(exact, "column_name").withColumn("within_bound", close).drop("estimate")

@@ -207,6 +207,33 @@ def test_rfm_complete(t: Retail):
     return buyers.join(rfm.select("customer_id"), "customer_id", "left_anti")
 
 
+@query(
+    "test_no_negative_revenue_feed",
+    with_layers(
+        f"SELECT order_id, CAST(-1.0 AS DOUBLE) AS net_amount FROM bronze_orders WHERE {picked('orders', '1b')}",
+        "bronze_orders",
+    ),
+)
+def test_no_negative_revenue_feed(t: Retail):
+    """The same test on a feed with broken rows, before cleaning takes them out."""
+    return silver.typed_orders(broken_feed(t, "orders")).where("net_amount < 0").select("order_id", "net_amount")
+
+
+@query(
+    "test_rfm_complete_stale",
+    with_layers(
+        """SELECT customer_id FROM silver_orders WHERE status = 'Completed' GROUP BY customer_id
+        HAVING customer_id IS NOT NULL AND MIN(order_date) >= DATE '1996-01-01'""",
+        "silver_orders",
+    ),
+)
+def test_rfm_complete_stale(t: Retail):
+    """The completeness test on a report that ends with 1995: buyers who came later have no segment."""
+    lines = t.order_lines.where("is_completed = 1 AND customer_id IS NOT NULL")
+    rfm = gold.rfm_base(lines.where("order_date < '1996-01-01'"), t.as_of, orders_unique=True)
+    return lines.select("customer_id").distinct().join(rfm.select("customer_id"), "customer_id", "left_anti")
+
+
 def _test_sql(table: str, test: TableTest) -> str:
     name = test.name.replace("'", "''")
     if test.kind == "unique":

@@ -100,5 +100,5 @@ def refresh(
     write("scd_customers", scd2(history, current, "customer_id", declared.SNAPSHOT_CHECKS))
 
     train, _ = forecast.split(forecast.fill_days(forecast.daily_series(sales, [])))
-    write("gold_forecast", forecast.as_report(forecast.fit_predict(train, horizon)))
+    write("gold_forecast", forecast.as_report(forecast.fit_predict_one(train, horizon)))
     return written

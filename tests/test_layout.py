@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from shopgrain.operators import layout
+from shopgrain.operators.ranks import split_positions
 from shopgrain.session import scratch_path
 
 
@@ -46,3 +47,23 @@ def test_column_statistics(spark):
     stats = {r.column_name: r for r in layout.column_statistics(df).collect()}
     assert (stats["n"].null_count, stats["n"].distinct_count, stats["n"].min_value) == (1, 2, "1")
     assert (stats["s"].row_count, stats["s"].distinct_count, stats["s"].max_value) == (3, 1, "x")
+
+
+def test_estimated_profile_takes_one_scan(spark):
+    path = scratch_path(spark, "profile")
+    spark.range(20000).selectExpr("id", "id % 7 AS few", "cast(id % 3000 AS string) AS some").write.parquet(path)
+    profile = layout.column_statistics(spark.read.parquet(path), exact=False)
+    assert profile._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    stats = {r.column_name: r.distinct_count for r in profile.collect()}
+    for column, exact in {"id": 20000, "few": 7, "some": 3000}.items():
+        assert abs(stats[column] - exact) <= max(1, exact * layout.SKETCH_ERROR)
+
+
+def test_all_cut_points_come_from_one_sample(spark):
+    path = scratch_path(spark, "cuts")
+    nothing = F.lit(None).cast("int")
+    spark.range(20000).select("id", F.hex("id").alias("s"), nothing.alias("n")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for place, parts in zip(split_positions(df, ["id", "s", "n"], 16), (16, 16, 1)):
+        sizes = [r["count"] for r in df.groupBy(place.alias("p")).count().collect()]
+        assert len(sizes) == parts and max(sizes) < 3 * 20000 / parts + 1

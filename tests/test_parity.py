@@ -5,13 +5,7 @@ import pytest
 
 from shopgrain.catalog import REGISTRY
 
-WITHOUT_SQL = {
-    "sample_rows_seeded": None,
-    "forecast_fit_predict": None,
-    "forecast_evaluate_fit": 1,
-    "forecast_write": 90,
-    "gold_forecast_90day": 90,
-}
+WITHOUT_SQL = {"sample_rows_seeded": None}
 
 
 @pytest.fixture(scope="module")
