@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
+import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,6 +15,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 AVAILABLE_NOW = {"availableNow": True}
 EXTRA, CORRUPT = "_extra_columns", "_corrupt_record"
 AUDIT = ["_ingested_at", "_source_file", EXTRA, CORRUPT]
+FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
+MAX_FILES = 1000
+HEADERS_PER_SCAN = 50
+HEADER_READS = 16
 
 
 def append_to(
@@ -28,59 +34,104 @@ def append_to(
     )
 
 
-def _lines(reader, src_dir: str) -> DataFrame:
-    """Lines of text files with their file and the place of their split in it."""
-    return reader.format("text").load(src_dir).select(
+def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Lines of text files that are not empty, with their file and the place of their split in it."""
+    plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", f) for f in files]  # paths, not patterns
+    lines = spark.read.text(plain).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
+    return lines.where(F.length("value") > 0)
 
 
-def _parsed(rows: DataFrame, header: str, schema: StructType | None) -> DataFrame:
-    """Rows of the files with one header: columns go by their name, not by their place."""
-    names = next(csv.reader([header]))
-    raw = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))] + [StructField("bad", StringType())])
-    fields = F.from_csv("value", raw.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
-                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
-    rows = rows.where(F.col("header") == header).withColumn("__row", fields)
-    declared = schema or StructType([StructField(n, StringType()) for n in names])
-    place = {n: f"__row.c{i}" for i, n in enumerate(names)}
-    kept, broken = [], F.col("__row.bad").isNotNull()
+def file_headers(spark: SparkSession, files: list[str]) -> list[tuple[str, str, str]]:
+    """Path, name in the table and first line of each file that has one. A read stops after that line."""
+
+    def first(path: str) -> tuple[str, str, str] | None:
+        row = _lines(spark, [path]).select("file", "value").first()
+        return row and (path, row.file, row.value)
+
+    with ThreadPoolExecutor(HEADER_READS) as pool:
+        return [found for found in pool.map(first, files) if found]
+
+
+def column_names(header: str) -> list[str]:
+    """Names of a header: one without a name is called after its place, one that is repeated gets a number."""
+    given = [n or f"_c{i}" for i, n in enumerate(next(csv.reader([header])))]
+    taken = {n.lower() for n in given}
+    seen, names = set(), []
+    for n in given:
+        name, k = n, 2
+        while name.lower() in seen or (name != n and name.lower() in taken):
+            name, k = f"{n}_{k}", k + 1
+        seen.add(name.lower())
+        names.append(name)
+    return names
+
+
+def _record(header: str, declared: StructType) -> Column:
+    """The line as a struct: the declared columns, all others as a map, and the whole line if it is broken."""
+    names = column_names(header)
+    raw = ", ".join(f"c{i} string" for i in range(len(names))) + ", bad string"
+    fields = F.from_csv("value", raw, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+    place = {n.lower(): fields.getField(f"c{i}") for i, n in enumerate(names)}
+    kept, broken = [], fields.getField("bad").isNotNull()
     for f in declared:
-        text = F.col(place[f.name]) if f.name in place else F.lit(None).cast("string")
+        text = place.get(f.name.lower(), F.lit(None).cast("string"))
         kept.append(text.try_cast(f.dataType).alias(f.name))
         broken = broken | (text.isNotNull() & text.try_cast(f.dataType).isNull())
-    known = {f.name for f in declared}
-    rest = [F.struct(F.lit(n).alias("k"), F.col(place[n]).alias("v")) for n in names if n not in known]
+    known = {f.name.lower() for f in declared}
+    rest = [F.struct(F.lit(n).alias("k"), place[n.lower()].alias("v")) for n in names if n.lower() not in known]
     extra = F.map_from_entries(F.array(*rest)) if rest else F.lit(None)
-    return rows.select(
-        *kept,
-        F.current_timestamp().alias("_ingested_at"),
-        F.col("file").alias("_source_file"),
-        extra.cast("map<string, string>").alias(EXTRA),
-        F.when(broken, F.col("value")).alias(CORRUPT),
-    )
+    line = F.when(broken, F.col("value"))
+    return F.struct(*kept, extra.cast("map<string, string>").alias(EXTRA), line.alias(CORRUPT))
+
 
+def _all_columns(headers: list[str]) -> StructType:
+    spelled: dict[str, str] = {}
+    for name in (n for h in headers for n in column_names(h)):
+        spelled.setdefault(name.lower(), name)
+    return StructType([StructField(n, StringType()) for n in spelled.values()])
 
-def parse_by_name(lines: DataFrame, schema: StructType | None) -> DataFrame | None:
-    """Typed rows of CSV lines whose files may differ in the order and number of columns.
 
-    A file's header is the first line of its first split. Files with the same header are parsed together,
-    so there are as many plans as different headers. Columns beside the schema go to a map;
-    the line of a row with a value that can't be read, too many or too few values is kept.
+def parse_by_name(
+    spark: SparkSession, files: list[str], schema: StructType | None, headers_per_scan: int = HEADERS_PER_SCAN
+) -> DataFrame | None:
+    """Typed rows of CSV files that may differ in the order and number of columns; None if no file has a line.
+
+    A file's header is its first line that is not empty; a line of its first split that repeats it word
+    by word is a header too. Every file is scanned once: files with up to ``headers_per_scan``
+    different headers share a scan, in which a row's file picks the parser. Names are compared without
+    regard to case. Columns beside the schema go to a map; the line of a row with a value that can't be
+    read, too many or too few values is kept. A name that a header repeats gets a number (``id``, ``id_2``).
     Without a schema all columns are text, and the table has those of all headers.
     """
-    numbered = lines.where(F.length("value") > 0).withColumn("line", F.monotonically_increasing_id())
-    heads = numbered.where("block = 0").groupBy("file").agg(
-        F.min_by("value", "line").alias("header"), F.min("line").alias("first")
-    )
-    headers = sorted(r.header for r in heads.select("header").distinct().collect())
-    rows = numbered.join(heads, "file").where("line <> first")
-    parts = [_parsed(rows, h, schema) for h in headers]
-    if not parts:
+    found = file_headers(spark, files)
+    headers = sorted({header for _, _, header in found})
+    declared = schema or _all_columns(headers)
+    scans = []
+    for start in range(0, len(headers), headers_per_scan):
+        some = headers[start : start + headers_per_scan]
+        here = [(path, file, some.index(header)) for path, file, header in found if header in some]
+        # One row a file of the batch, which its reader bounds.
+        kinds = spark.createDataFrame([(file, kind) for _, file, kind in here], "file string, kind int")
+        rows = _lines(spark, [path for path, _, _ in here]).join(F.broadcast(kinds), "file", "left")
+        record = F.raise_error(F.concat(F.lit("no header is known of "), F.col("file")))
+        for kind, header in enumerate(some):
+            record = F.when(F.col("kind") == kind, _record(header, declared)).otherwise(record)
+        is_header = F.get(F.array(*[F.lit(h) for h in some]), F.col("kind")) == F.col("value")
+        kept = rows.where(~F.coalesce((F.col("block") == 0) & is_header, F.lit(False)))
+        scans.append(kept.select("file", record.alias("record")))
+    if not scans:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return reduce(DataFrame.unionAll, scans).select(
+        *[F.col("record")[f.name].alias(f.name) for f in declared],
+        F.current_timestamp().alias("_ingested_at"),
+        F.col("file").alias("_source_file"),
+        F.col("record")[EXTRA].alias(EXTRA),
+        F.col("record")[CORRUPT].alias(CORRUPT),
+    )
 
 
 def ingest_csv(
@@ -90,24 +141,24 @@ def ingest_csv(
     sink_dir: str,
     checkpoint: str,
     trigger: dict | None = None,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
 ) -> StreamingQuery:
     """Start ingesting a CSV folder, each file once, into a table that ``read_evolving`` reads.
 
-    Adds ``_ingested_at``, ``_source_file``, ``_extra_columns`` and ``_corrupt_record``.
-    ``max_files`` bounds a micro-batch. A batch that is delivered again replaces its own rows.
+    Adds ``_ingested_at``, ``_source_file``, ``_extra_columns`` and ``_corrupt_record``. The stream is
+    the list of new files, whose contents it doesn't read; ``max_files`` bounds a micro-batch. A batch
+    that is delivered again replaces its own rows.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = parse_by_name(batch, schema)
+        rows = parse_by_name(spark, sorted(r.path for r in batch.collect()), schema)
         if rows is not None:
             rows.write.mode("overwrite").parquet(f"{sink_dir}/batch={number}")
 
-    reader = spark.readStream
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.format("binaryFile").schema(FILE_LISTING)
+    listed = reader.option("maxFilesPerTrigger", max_files).load(src_dir)
     return (
-        _lines(reader, src_dir)
+        listed.select("path")
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or AVAILABLE_NOW))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shopgrain.session import scratch_path
 from shopgrain.sources import schemas
 from shopgrain.streaming.events import dedup_stream, dedup_within, windowed_revenue
-from shopgrain.streaming.ingest import append_evolving, append_to, ingest_csv, read_evolving
+from shopgrain.streaming.ingest import append_evolving, append_to, column_names, ingest_csv, parse_by_name, read_evolving
 from shopgrain.streaming.upsert import read_current, stream_upsert, write_version
 
 EVENTS = "event_id string, event_type string, amount double, region string, event_time timestamp"
@@ -87,6 +87,48 @@ def test_csv_restart_and_untyped(spark):
     assert dict(run(None, "untyped").dtypes)["age"] == "string"
 
 
+def csv_files(spark, **files):
+    """A folder with one file for each name."""
+    base = scratch_path(spark, "csv")
+    jvm = spark._jvm
+    for name, text in files.items():
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/in", f"{name}.csv")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        out.write(text.encode())
+        out.close()
+    return base
+
+
+def test_csv_files_of_several_headers_are_scanned_once(spark):
+    base = csv_files(
+        spark, a="id,name\n1,ann\n\n", b="name,id,vip\nbob,2,yes\n", c="\nID\n3\nID\n", empty="", d="id,name\n"
+    )
+    files = [f"{base}/in/{n}.csv" for n in ("a", "b", "c", "empty", "d")]
+    schema = schemas.struct("id int, name string")
+    got = parse_by_name(spark, files, schema)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    assert sorted((r.id, r.name) for r in got.collect()) == [(1, "ann"), (2, "bob"), (3, None)]
+    few = parse_by_name(spark, files, schema, headers_per_scan=2)
+    assert sorted(few.drop("_ingested_at").collect(), key=repr) == sorted(got.drop("_ingested_at").collect(), key=repr)
+    assert parse_by_name(spark, [f"{base}/in/empty.csv"], schema) is None
+
+
+def test_csv_names_that_repeat_or_lack_are_all_kept(spark):
+    assert column_names("id,name,ID,id_2,,id") == ["id", "name", "ID_3", "id_2", "_c4", "id_4"]
+    base = csv_files(spark, **{"a b [1]": "id,name,id\n1,bob,2\n", "c%20{d}": "Id,\n5,6\n"})
+
+    def run(schema, sink):
+        ingest_csv(spark, f"{base}/in", schema, f"{base}/{sink}", f"{base}/cp_{sink}", max_files=1).awaitTermination()
+        return read_evolving(spark, f"{base}/{sink}")
+
+    typed = {r.id: r for r in run(schemas.struct("id int, name string"), "typed").collect()}
+    assert typed[1].name == "bob" and typed[1]._extra_columns == {"id_2": "2"} and typed[1]._corrupt_record is None
+    assert typed[5]._extra_columns == {"_c1": "6"}
+    both = parse_by_name(spark, [r.path for r in spark.read.format("binaryFile").load(f"{base}/in").select("path").collect()], None)
+    assert both.columns[:4] == ["Id", "_c1", "name", "id_2"]
+    assert sorted(tuple(r[:4]) for r in both.collect()) == [("1", None, "bob", "2"), ("5", "6", None, None)]
+
+
 def test_csv_columns_go_by_name_and_nothing_is_lost(spark):
     base = scratch_path(spark, "csv")
     schema = schemas.struct("id string, name string, age int")
