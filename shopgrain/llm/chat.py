@@ -124,8 +124,8 @@ def row_turns(rows: DataFrame) -> DataFrame:
 def json_turns(rows: DataFrame, id_col: str = "conv_id", json_col: str = "record") -> DataFrame:
     """Canonical turns of JSON records of mixed layouts.
 
-    A record is parsed with the union of all layouts' fields; the paths it has are hashed, and the
-    hash selects the layout's mapping. Returns ``conv_id``, ``layout`` (the hash), ``turns`` (null
+    A record is parsed with the union of all layouts' fields; the paths it has, those of null values
+    too, are hashed, and the hash selects the layout's mapping. Returns ``conv_id``, ``layout`` (the hash), ``turns`` (null
     for an unknown layout and for broken or null JSON, so that such rows can be set aside).
     Fields beside those of the layouts are passed over.
     """
@@ -137,10 +137,10 @@ def json_turns(rows: DataFrame, id_col: str = "conv_id", json_col: str = "record
     lists = {"messages": ("role", "content"), "conversations": ("from", "value")}
     record = F.col("__record")
     present = [
-        F.when(record[c].isNotNull(), F.array(*(F.lit(f"{c}[].{x}") for x in fields)))
+        F.when(F.array_contains("__keys", c), F.array(*(F.lit(f"{c}[].{x}") for x in fields)))
         for c, fields in lists.items()
     ] + [
-        F.when(record[c].isNotNull(), F.array(F.lit(c)))
+        F.when(F.array_contains("__keys", c), F.array(F.lit(c)))
         for c in ("system", "prompt", "response", "completion", "instruction", "input", "output")
     ]
     none = F.array().cast("array<string>")
@@ -152,7 +152,8 @@ def json_turns(rows: DataFrame, id_col: str = "conv_id", json_col: str = "record
         F.when(F.lit(False), F.lit(None)),
     )
     return (
-        rows.select(F.col(id_col).alias("conv_id"), F.from_json(json_col, union).alias("__record"))
+        rows.select(F.col(id_col).alias("conv_id"), F.from_json(json_col, union).alias("__record"),
+                    F.json_object_keys(json_col).alias("__keys"))
         .withColumn("layout", layout)
         .select("conv_id", "layout", turns.cast(f"array<{TURN}>").alias("turns"))
     )

@@ -19,7 +19,7 @@ from shopgrain.llm.secret_scan import scan
 from shopgrain.llm.simhash import simhash_groups
 from shopgrain.llm.suffix_dedup import remove_repeats
 from shopgrain.llm.toxicity import THRESHOLD, fold, score, train
-from shopgrain.llm.urls import DAMPING, LINK, LOWER, MARGIN, ROUNDS, UPPER, URL, judge
+from shopgrain.llm.urls import DAMPING, LINK, LOWER, MARGIN, TOLERANCE, UPPER, URL, judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,19 +205,8 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _rounds() -> str:
-    """One table a round: what links pass on and what the seeds have."""
-    return ",\n".join(
-        f"""score{i} AS (SELECT kind, host, sum(score) AS score FROM (
-  SELECT e.kind, e.dst AS host, {DAMPING} * s.score * e.w AS score
-  FROM score{i - 1} s JOIN edges e ON s.kind = e.kind AND s.host = e.src
-  UNION ALL SELECT * FROM score0) GROUP BY ALL)"""
-        for i in range(1, ROUNDS + 1)
-    )
-
-
 OP10_SQL = f"""
-WITH placed AS (SELECT page_id, html,
+WITH RECURSIVE placed AS (SELECT page_id, html,
     translate(coalesce(regexp_extract(url, {_quoted(URL)}, 1), ''), '{UPPER}', '{LOWER}') AS host,
     coalesce(regexp_extract(url, {_quoted(URL)}, 2), '') AS path FROM pages),
 rules(above, start, said) AS (VALUES {", ".join(map(str, RULES))}),
@@ -236,9 +225,12 @@ seeds AS (SELECT host, avg((said IS NOT DISTINCT FROM 'allow')::INT) AS good,
 score0 AS (SELECT kind, host, {1 - DAMPING} * share AS score
   FROM (SELECT 'trust' AS kind, host, good AS share FROM seeds UNION ALL SELECT 'distrust', host, bad FROM seeds)
   WHERE share > 0),
-{_rounds()},
+passed AS (SELECT kind, host, score, 0 AS round FROM score0
+  UNION ALL SELECT e.kind, e.dst, sum({DAMPING} * p.score * e.w), p.round + 1
+  FROM passed p JOIN edges e ON p.kind = e.kind AND p.host = e.src
+  GROUP BY e.kind, e.dst, p.round HAVING sum(p.score) > {TOLERANCE} / 1e9),
 judged AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS trust,
-    coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust FROM score{ROUNDS} GROUP BY host)
+    coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust FROM passed GROUP BY host)
 SELECT page_id, host, path, rule,
   coalesce(said, CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0) > {MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled LEFT JOIN judged USING (host)

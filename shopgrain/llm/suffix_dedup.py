@@ -378,7 +378,7 @@ def repeated_spans(
         .select("id", "th", "o", F.explode("ranges").alias("r"))
         .groupBy("id", "th")
         .agg(
-            F.collect_list(
+            F.collect_set(  # repeated rows have the same ones
                 F.struct(
                     (F.col("o") + F.col("r.low")).alias("low"),
                     (F.col("o") + F.col("r.high") - 1 + length).alias("high"),

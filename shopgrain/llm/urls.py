@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,11 @@ from shopgrain.session import materialize
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?is)\shref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
-ROUNDS = 12
 DAMPING = 0.85
 #: A host is blocked if its distrust exceeds its trust by the weight of a seed with half of its pages blocked.
 MARGIN = 0.5 * (1 - DAMPING)
+#: Scores miss less than this, far below the margin.
+TOLERANCE = MARGIN / 1000
 #: Rounds whose plans are run as one job.
 ROUNDS_PER_JOB = 4
 
@@ -70,12 +73,16 @@ def host_links(pages: DataFrame, html_col: str = "html") -> DataFrame:
     )
 
 
-def spread(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def spread(
+    seeds: DataFrame, links: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING
+) -> DataFrame:
     """``host``, ``trust``, ``distrust`` by personalised PageRank.
 
     ``seeds``: ``host``, ``good``, ``bad``. Trust runs along links, distrust against them: who
     links to a blocked host is doubted. Both are one table with a ``kind``, so a round is one join and
     one aggregation that combines before the shuffle. Mass on hosts without links is dropped.
+    A round passes on what the one before brought. All later rounds together bring ``damping / (1 - damping)``
+    of the last one's mass at most, and rounds go on until that is below ``tolerance``, so no score misses more.
     """
     both = links.select(F.lit("trust").alias("kind"), F.col("src").alias("at"), F.col("dst").alias("to"), "n").union(
         links.select(F.lit("distrust"), F.col("dst"), F.col("src"), "n")
@@ -99,15 +106,22 @@ def spread(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: fl
         .where("score > 0"),
         "seeds",
     )
-    score = start
-    if not edges.isEmpty():
-        for i in range(1, rounds + 1):
-            passed = score.join(edges, ["kind", "at"]).select(
+    score = arrived = start
+    left = 0.0 if edges.isEmpty() else float("inf")
+    while left > tolerance:
+        came = []
+        for _ in range(ROUNDS_PER_JOB):
+            passed = (came[-1] if came else arrived).join(edges, ["kind", "at"]).select(
                 "kind", F.col("to").alias("at"), (damping * F.col("score") * F.col("w")).alias("score")
             )
-            score = passed.union(start).groupBy("kind", "at").agg(F.sum("score").alias("score"))
-            if i % ROUNDS_PER_JOB == 0:
-                score = materialize(score, "trust")
+            came.append(passed.groupBy("kind", "at").agg(F.sum("score").alias("score")))
+        # The rounds of a job as one table: what each brought, told by its number.
+        numbered = [c.select("kind", "at", "score", F.lit(i).alias("round")) for i, c in enumerate(came)]
+        block = materialize(reduce(DataFrame.unionAll, numbered), "trust-rounds")
+        arrived = block.where(F.col("round") == ROUNDS_PER_JOB - 1).drop("round")
+        brought = score.unionAll(block.drop("round")).groupBy("kind", "at")
+        score = materialize(brought.agg(F.sum("score").alias("score")), "trust")
+        left = (arrived.agg(F.sum("score")).first()[0] or 0.0) * damping / (1 - damping)
     part = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
     return score.groupBy(F.col("at").alias("host")).agg(part("trust"), part("distrust"))
 

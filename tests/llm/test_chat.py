@@ -68,6 +68,9 @@ def test_layouts_by_record(spark):
         ({"instruction": "hi", "output": "yo"}, hi),
         ({"system": "s", "prompt": "hi", "response": "yo"}, [("system", "s"), *hi]),
         ({"output": "yo"}, None),
+        ({"prompt": "x", "response": None}, [("user", "x"), ("assistant", "")]),
+        ({"system": None, "prompt": None, "response": "y"}, [("system", ""), ("user", ""), ("assistant", "y")]),
+        ({"messages": None, "id": 3}, []),
     ]
     rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(records)] + [(90, "{"), (91, None)]
     got = {r.conv_id: r for r in json_turns(spark.createDataFrame(rows, "conv_id long, record string")).collect()}

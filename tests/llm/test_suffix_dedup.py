@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shopgrain.llm import suffix_dedup
 from shopgrain.llm.queries import op5_suffix_dedup
@@ -66,6 +67,17 @@ def test_odd_rows(docs_of, odd):
     assert remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_repeated_rows_hold_their_spans_once(docs_of):
+    """Rows of one id and text don't multiply what is gathered for them."""
+    text = random.Random(9).randbytes(600).hex()
+    rows = [(1, text)] * 20 + [(2, text[300:900])]
+    check(docs_of(rows), rows)
+    docs = docs_of(rows).select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("th"))
+    once = docs_of([*rows[:2], rows[-1]]).select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("th"))
+    spans = lambda d: {r.id: len(r.spans) for r in suffix_dedup.repeated_spans(d).collect()}
+    assert spans(docs) == spans(once)
+
+
 def test_anchors_cover_every_start():
     data = np.frombuffer(random.Random(5).randbytes(3000), np.uint8)
     offsets = np.array([0, 100, 100, 1500, 3000])

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopgrain.llm.queries import RULES
-from shopgrain.llm.urls import DAMPING, MARGIN, ROUNDS, judge
+from shopgrain.llm.urls import DAMPING, MARGIN, TOLERANCE, judge
 
 URLS = [
     None, "", "no-scheme.net/en/", "http://A.Example.NET/en/1?x=/de/", "http://example.net/EN/1", "https://net/",
@@ -45,7 +45,7 @@ def brute(rows, rules):
     ):
         start = {h: (1 - DAMPING) * s for h, s in seed.items()}
         s = dict(start)
-        for _ in range(ROUNDS):
+        for _ in range(400):
             new = dict(start)
             for (a, b), n in edges.items():
                 out = sum(m for (x, _), m in edges.items() if x == a)
@@ -55,15 +55,16 @@ def brute(rows, rules):
     out = []
     for (i, host, path, _), (rule, verdict) in zip(placed, ruled):
         t, d = (scores[k].get(host, 0.0) for k in ("trust", "distrust"))
-        out.append((i, host, path, rule, verdict or ("block" if d - t > MARGIN else "allow"), round(t, 9), round(d, 9)))
+        out.append((i, host, path, rule, verdict or ("block" if d - t > MARGIN else "allow"), t, d))
     return sorted(out, key=repr)
 
 
 def check(spark, rows, rules):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("x"))
     got = judge(frame, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
-    mine = [(*tuple(r)[:5], round(r.trust, 9), round(r.distrust, 9)) for r in got]
-    assert sorted(mine, key=repr) == brute(rows, rules)
+    mine, want = sorted((tuple(r) for r in got), key=repr), brute(rows, rules)
+    assert [m[:5] for m in mine] == [w[:5] for w in want]
+    assert all(abs(x - y) <= TOLERANCE for m, w in zip(mine, want) for x, y in zip(m[5:], w[5:]))
     return {r.page_id: r for r in got}
 
 
@@ -84,6 +85,15 @@ def test_distrust_runs_against_links(spark):
     assert got[2].verdict == "block" and got[4].verdict == "allow" and got[4].trust > 0
 
 
+def test_a_long_chain_is_followed_to_its_end(spark):
+    """Thirty hosts in a row pass a seed's distrust back; twelve rounds would not reach the first ones."""
+    link = lambda h: f'<a href="http://{h}/">y</a>'
+    rows = [(i, f"http://h{i}.com/", link(f"h{i + 1}.com" if i < 29 else "bad.net")) for i in range(30)]
+    rows += [(40, "http://bad.net/", "")]
+    got = check(spark, rows, RULES)
+    assert abs(got[0].distrust - (1 - DAMPING) * DAMPING**30) < TOLERANCE and got[29].verdict == "block"
+
+
 @pytest.mark.parametrize("folder", ["/root/testdata/sf0.001"])
 def test_on_pages(spark, folder):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()]
