@@ -70,11 +70,15 @@ def column_names(header: str) -> list[str]:
     return names
 
 
-def _record(header: str, declared: StructType) -> Column:
+def _fields(header: str) -> Column:
+    """The line cut into texts ``c0``, ``c1``, ..., and the whole line as ``bad`` if it has too many or too few."""
+    raw = ", ".join(f"c{i} string" for i in range(len(column_names(header)))) + ", bad string"
+    return F.from_csv("value", raw, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+
+
+def _record(header: str, fields: Column, declared: StructType) -> Column:
     """The line as a struct: the declared columns, all others as a map, and the whole line if it is broken."""
     names = column_names(header)
-    raw = ", ".join(f"c{i} string" for i in range(len(names))) + ", bad string"
-    fields = F.from_csv("value", raw, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
     place = {n.lower(): fields.getField(f"c{i}") for i, n in enumerate(names)}
     kept, broken = [], fields.getField("bad").isNotNull()
     for f in declared:
@@ -117,12 +121,15 @@ def parse_by_name(
         # One row a file of the batch, which its reader bounds.
         kinds = spark.createDataFrame([(file, kind) for _, file, kind in here], "file string, kind int")
         rows = _lines(spark, [path for path, _, _ in here]).join(F.broadcast(kinds), "file", "left")
-        record = F.raise_error(F.concat(F.lit("no header is known of "), F.col("file")))
-        for kind, header in enumerate(some):
-            record = F.when(F.col("kind") == kind, _record(header, declared)).otherwise(record)
         is_header = F.get(F.array(*[F.lit(h) for h in some]), F.col("kind")) == F.col("value")
         kept = rows.where(~F.coalesce((F.col("block") == 0) & is_header, F.lit(False)))
-        scans.append(kept.select("file", record.alias("record")))
+        # A column of its own per header: the line is parsed once, not once for each use of one of its fields.
+        cut = {f"__fields_{kind}": F.when(F.col("kind") == kind, _fields(h)) for kind, h in enumerate(some)}
+        record = F.raise_error(F.concat(F.lit("no header is known of "), F.col("file")))
+        for kind, header in enumerate(some):
+            known = _record(header, F.col(f"__fields_{kind}"), declared)
+            record = F.when(F.col("kind") == kind, known).otherwise(record)
+        scans.append(kept.withColumns(cut).select("file", record.alias("record")))
     if not scans:
         return None
     return reduce(DataFrame.unionAll, scans).select(

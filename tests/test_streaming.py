@@ -113,6 +113,20 @@ def test_csv_files_of_several_headers_are_scanned_once(spark):
     assert parse_by_name(spark, [f"{base}/in/empty.csv"], schema) is None
 
 
+def test_csv_lines_are_parsed_once_per_header(spark, tmp_path):
+    schema = "id int, v int, note string"
+    for name, header in (("a", "id,v,note"), ("b", "v,id,other")):
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n1,2,x\n2,broken,y\n3\n")
+    files = [f"file:{tmp_path}/{n}.csv" for n in "ab"]
+    got = parse_by_name(spark, files, spark.createDataFrame([], schema).schema)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 2
+    found = {(r.id, r.v, r.note, r._corrupt_record) for r in got.collect()}
+    assert found == {
+        (1, 2, "x", None), (2, None, "y", "2,broken,y"), (3, None, None, "3"), (2, 1, None, None),
+        (None, 2, None, "2,broken,y"), (None, 3, None, "3"),
+    }
+
+
 def test_csv_names_that_repeat_or_lack_are_all_kept(spark):
     assert column_names("id,name,ID,id_2,,id") == ["id", "name", "ID_3", "id_2", "_c4", "id_4"]
     base = csv_files(spark, **{"a b [1]": "id,name,id\n1,bob,2\n", "c%20{d}": "Id,\n5,6\n"})
