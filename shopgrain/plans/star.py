@@ -9,6 +9,7 @@ from shopgrain.functions import as_money, ratio, rounded, surrogate_key
 from shopgrain.functions.calendar import date_parts
 from shopgrain.functions.labels import status_flags
 from shopgrain.operators.joins import lookup_join
+from shopgrain.plans.silver import order_attributes
 
 FACT_COLUMNS = [
     "order_key", "order_id", "order_date", "customer_key", "product_key", "customer_id",
@@ -19,6 +20,13 @@ FACT_COLUMNS = [
 ]
 
 
+#: What the lookups move of an order; the other columns of the fact follow from these and are added last.
+CARRIED = [
+    "order_id", "order_date", "customer_id", "product_id", "quantity", "unit_price", "discount_pct", "gross_amount",
+    "net_amount", "channel", "region", "status", "ship_days", "_updated_at",
+]
+
+
 def dim_customer(silver: DataFrame) -> DataFrame:
     return silver.select(
         surrogate_key("customer_id").alias("customer_key"),
@@ -70,19 +78,23 @@ def dim_date(spine: DataFrame) -> DataFrame:
     )
 
 
+def line_attributes() -> dict[str, Column]:
+    return {"order_key": surrogate_key("order_id"), **status_flags()}
+
+
 def order_lines(silver_orders: DataFrame) -> DataFrame:
     """Visible orders with their key and status flags; no lookups yet."""
-    return silver_orders.where(~F.col("is_deleted")).withColumns(
-        {"order_key": surrogate_key("order_id"), **status_flags()}
-    )
+    return silver_orders.where(~F.col("is_deleted")).withColumns(line_attributes())
 
 
-def with_product(lines: DataFrame, products: DataFrame, hot: list | None = None) -> DataFrame:
-    """Add product key and profit; both stay null for a product the dimension lacks."""
+def _with_cost(lines: DataFrame, products: DataFrame, hot: list | None) -> DataFrame:
     costs = products.select("product_id", "product_key", F.col("cost_price").alias("__cost"))
-    joined = lookup_join(lines, costs, "product_id", "left", hot)
+    return lookup_join(lines, costs, "product_id", "left", hot)
+
+
+def _with_profit(lines: DataFrame) -> DataFrame:
     profit = as_money("net_amount") - F.col("quantity") * as_money("__cost")
-    return joined.withColumns(
+    return lines.withColumns(
         {
             "gross_profit": rounded(profit, 2),
             "gross_margin_pct": rounded(ratio(profit, as_money("net_amount")), 4),
@@ -90,15 +102,27 @@ def with_product(lines: DataFrame, products: DataFrame, hot: list | None = None)
     ).drop("__cost")
 
 
+def with_product(lines: DataFrame, products: DataFrame, hot: list | None = None) -> DataFrame:
+    """Add product key and profit; both stay null for a product the dimension lacks."""
+    return _with_profit(_with_cost(lines, products, hot))
+
+
 def fact_orders(
     silver_orders: DataFrame,
     customers: DataFrame,
     products: DataFrame,
     hot_customers: list | None = None,
     hot_products: list | None = None,
+    rebalance_by: str | None = None,
 ) -> DataFrame:
-    lines = with_product(order_lines(silver_orders), products, hot_products)
-    keyed = lookup_join(
-        lines, customers.select("customer_id", "customer_key"), "customer_id", "left", hot_customers
+    """The visible orders with both keys and the profit. Only CARRIED columns and what is looked up are shuffled:
+    by the lookups, and, with ``rebalance_by`` (one of the order attributes), into even shares for a partitioned write."""
+    lines = silver_orders.where(~F.col("is_deleted")).select(*CARRIED)
+    found = _with_cost(lines, products, hot_products)
+    found = lookup_join(
+        found, customers.select("customer_id", "customer_key"), "customer_id", "left", hot_customers
     )
-    return keyed.select(*FACT_COLUMNS)
+    attributes = order_attributes()
+    if rebalance_by:
+        found = found.withColumn(rebalance_by, attributes[rebalance_by]).hint("rebalance", rebalance_by)
+    return _with_profit(found).withColumns({**line_attributes(), **attributes}).select(*FACT_COLUMNS)

@@ -83,6 +83,18 @@ def test_unknown_product_keeps_the_order_without_profit(spark):
     assert (totals.total_orders, totals.total_gross_profit, totals.avg_margin_pct) == (2, 6.0, 66.67)
 
 
+def test_fact_lookups_move_only_what_the_rest_follows_from(spark, sf_dir):
+    from shopgrain.sources.conform import Retail
+
+    t = Retail(spark, sf_dir)
+    fact = star.fact_orders(t.silver_orders, t.dim_customer, t.dim_product, rebalance_by="order_month_key")
+    assert fact.columns == star.FACT_COLUMNS
+    plan = fact._jdf.queryExecution().optimizedPlan()
+    last = plan.toString().split("RebalancePartitions", 1)
+    assert len(last) == 2 and "discount_tier" in last[0]
+    assert not any(c in last[1] for c in ("AS discount_tier", "AS order_key", "AS is_returned", "AS order_year"))
+
+
 def test_sales_totals_agree_with_the_fact(spark, sf_dir):
     from shopgrain.sources.conform import Retail
 
