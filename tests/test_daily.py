@@ -1,9 +1,11 @@
 """The daily job, run from empty and then incrementally."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from shopgrain.plans import daily
-from shopgrain.session import scratch_path
+from shopgrain.session import SHUFFLE_CLEANUP, materialize, scratch_path, shuffles_dropped
 from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
 
 FEEDS = ("orders", "customers", "products", "inventory")
@@ -26,3 +28,26 @@ def test_incremental_run_ends_where_a_full_run_does(spark, sf_dir):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     failures = spark.read.parquet(f"{full}/quality_report").agg(F.sum("failures")).first()[0]
     assert failures >= 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    # Blocks of shuffles that the driver still knows of; the listing of a removed one is empty.
+    def blocks():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(b.isShuffle() for b in (found.apply(i) for found in [manager.getAllBlocks()] for i in range(found.size())))
+
+    def settled(most):
+        for _ in range(50):  # the files are removed in the background
+            if blocks() <= most:
+                return True
+            time.sleep(0.1)
+        return False
+
+    rows = spark.range(1000).repartition(5, "id").groupBy(F.col("id") % 7).count()
+    before = blocks()
+    setting = spark.conf.get(SHUFFLE_CLEANUP, None)
+    kept = materialize(rows, "kept")
+    assert settled(before) and kept.count() == 7
+    with shuffles_dropped(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
