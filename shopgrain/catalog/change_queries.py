@@ -60,9 +60,9 @@ KNOWN = f"""SELECT * REPLACE (CASE WHEN NOT ({SHIPPED}) THEN ship_days END AS sh
 
 
 def cdc_batch(t: Retail) -> DataFrame:
-    """Order lines shipped since as updates, lines placed since as inserts."""
-    shipped = cdc_tag(t.bronze_orders.where(shipped_later()), "UPDATE", ntz(CDC_TS))
-    return shipped.unionByName(cdc_tag(t.bronze_orders.where(placed_later()), "INSERT", ntz(CDC_TS)))
+    """Order lines shipped since as updates, lines placed since as inserts; the feed is read once."""
+    operation = F.when(placed_later(), "INSERT").otherwise("UPDATE")
+    return cdc_tag(t.bronze_orders.where(placed_later() | shipped_later()), operation, ntz(CDC_TS))
 
 
 @query(

@@ -73,3 +73,21 @@ def test_state_is_bounded_by_the_watermark(spark):
     assert ("late", 1) not in kept  # behind the watermark
     assert kept.count(("0-0", 1)) == 2  # a copy further apart than the watermark counts as new
     assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in late.recentProgress if p["stateOperators"]) == 1
+
+
+def test_second_load_and_change_batch_read_the_feed_once(spark, sf_dir):
+    from shopgrain.catalog.change_queries import cdc_batch
+    from shopgrain.catalog.quality_checks import broken_feed, picked
+    from shopgrain.catalog.silver_streams import AGAIN, TWICE, second_load
+    from shopgrain.sources.conform import FIRST_LOAD_TS, SECOND_LOAD_TS, Retail, ntz
+
+    t = Retail(spark, sf_dir)
+    rows = broken_feed(t, "orders")
+    load = second_load(rows, "orders")
+    for once in (load, cdc_batch(t)):
+        assert "Union" not in once._jdf.queryExecution().optimizedPlan().toString()
+    first = rows.where(F.col("_ingested_at") == ntz(FIRST_LOAD_TS))
+    second = rows.where(F.col("_ingested_at") == ntz(SECOND_LOAD_TS))
+    again = first.where(picked("orders", AGAIN)).withColumn("_ingested_at", ntz(SECOND_LOAD_TS))
+    want = second.unionByName(again).unionByName(second.where(picked("orders", TWICE)))
+    assert load.exceptAll(want).count() == 0 and want.exceptAll(load).count() == 0 and again.count() > 0
