@@ -12,6 +12,13 @@ from shopgrain.session import materialize
 
 ROW_NUMBER = "__row_number"
 MATCHED = "__matched"
+SLOT, BITMAP = "__slot", "__bitmap"
+#: Lists of fewer keys are left to Spark, which broadcasts them.
+MIN_LISTED = 250_000
+#: Bits of the filter for a listed key; a Spark bitmap holds 2**15 bits, at most this many of them (32 MB) are broadcast.
+BITS_PER_KEY, BITMAP_SHIFT, MOST_BITMAPS = 16, 15, 8192
+#: Types whose equal values always have equal hashes.
+HASHED_ALIKE = {"string", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz", "boolean", "binary"}
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -43,6 +50,30 @@ def new_rows(
     return source.where(F.col(ts_col) >= mark if inclusive else F.col(ts_col) > mark)
 
 
+def unlisted_rows(target: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    """The target rows whose key is not in ``listed``, a written table: a left anti join.
+
+    A long list would have the whole target shuffled. Its key hashes are broadcast as bitmaps instead: a row whose bit is not
+    set has no match and stays where it is, only the others are shuffled to compare the keys. The target is read for both.
+    """
+    plain = lambda rows: rows.join(listed.select(*keys), keys, "left_anti")
+    kinds = [target.schema[k].dataType for k in keys]
+    if kinds != [listed.schema[k].dataType for k in keys] or not {t.simpleString() for t in kinds} <= HASHED_ALIKE:
+        return plain(target)
+    count = listed.count()
+    if count < MIN_LISTED:
+        return plain(target)
+    bitmaps = min(MOST_BITMAPS, (count * BITS_PER_KEY >> BITMAP_SHIFT) + 1)
+    slot = F.pmod(F.xxhash64(*keys), F.lit(bitmaps << BITMAP_SHIFT))
+    place = slot.bitwiseAND((1 << BITMAP_SHIFT) - 1)
+    bits = listed.groupBy(F.shiftright(slot, BITMAP_SHIFT).alias(SLOT)).agg(F.bitmap_construct_agg(place).alias(BITMAP))
+    marked = target.withColumn(SLOT, F.shiftright(slot, BITMAP_SHIFT)).join(F.broadcast(bits), SLOT, "left")
+    byte = F.conv(F.hex(F.substring(BITMAP, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    rest, candidates = (marked.where(c).select(*target.columns) for c in (~is_set, is_set))
+    return rest.unionByName(plain(candidates).select(*target.columns))
+
+
 def upsert(
     target: DataFrame | None,
     source: DataFrame,
@@ -68,7 +99,7 @@ def upsert(
     if update_cols is not None:
         parts.append(update_columns(target, changes, keys, update_cols, delete_unmatched))
     elif not delete_unmatched:
-        parts.append(target.join(changed_keys, keys, "left_anti"))
+        parts.append(unlisted_rows(target, changed_keys, keys))
     if update_cols is None and insert:
         parts.append(changes)
     elif update_cols is None:

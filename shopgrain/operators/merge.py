@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.operators.changes import latest_per_key
+from shopgrain.operators.changes import latest_per_key, unlisted_rows
 from shopgrain.session import delete_path, materialize
 
 
@@ -30,8 +30,8 @@ def touched_partitions(target: DataFrame, changes: DataFrame, keys: list[str], b
 
 def merged_image(target: DataFrame, changes: DataFrame, keys: list[str], by: str, touched: list) -> DataFrame:
     """The touched partitions after the merge. Changed rows leave, the batch comes in; no row of the
-    target is shuffled for a batch that can be broadcast."""
-    staying = target.where(within(by, touched)).join(changes.select(*keys), keys, "left_anti")
+    target is shuffled for a batch that can be broadcast, and few are for a larger one."""
+    staying = unlisted_rows(target.where(within(by, touched)), changes, keys)
     return staying.unionByName(changes)
 
 

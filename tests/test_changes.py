@@ -137,3 +137,23 @@ def test_sample_by_key_is_stable_and_close(spark):
     first = {r.k for r in changes.sample_by_key(df, "k", 0.1).collect()}
     second = {r.k for r in changes.sample_by_key(df.repartition(3), "k", 0.1).collect()}
     assert first == second and 1700 < len(first) < 2300
+
+
+def test_long_list_of_changes_leaves_the_target_in_place(spark, rows, monkeypatch):
+    """Whatever hash the filter gives: duplicates and null keys stay as a plain anti join keeps them."""
+    monkeypatch.setattr(changes, "MIN_LISTED", 1)
+    monkeypatch.setattr(changes, "BITS_PER_KEY", 64)
+    key = F.when(F.col("id") % 50 > 0, F.col("id").cast("string"))
+    target = materialize(spark.range(2000).union(spark.range(100)).select(key.alias("k"), "id"), "target")
+    listed = materialize(spark.range(0, 4000, 40).select(key.alias("k"), F.lit(0).alias("v")), "listed")
+    found = changes.unlisted_rows(target, listed, ["k"])
+    assert rows(found) == rows(target.join(listed, ["k"], "left_anti"))
+    assert len(rows(found)) < target.count()
+    candidates = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "__bitmap" in candidates and candidates.count("LeftAnti") == 1
+    listed_bits = F.pmod(F.xxhash64("k"), F.lit((listed.count() * 64 >> 15) + 1 << 15)).alias("b")
+    might_match = target.select("k", listed_bits).join(listed.select(listed_bits).distinct(), "b").count()
+    assert might_match < target.count() / 2  # all that the anti join has to move
+    numbers = target.select(F.col("id").cast("int").alias("k"))
+    other_type = materialize(spark.range(10).withColumnRenamed("id", "k"), "listed")
+    assert changes.unlisted_rows(numbers, other_type, ["k"]).count() == 2080
