@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.operators.ranks import split_positions
+from shopgrain.session import LONGEST_METHOD, setting
 
 GIB = 1024**3
+#: Longer methods are never compiled by the JVM, only interpreted.
+COMPILED_BYTES = "8000"
 #: A distinct sketch of 2**14 registers errs by 0.65 % (one standard deviation); six of them are the bound.
 SKETCH_BITS = 14
 SKETCH_ERROR = 0.04
@@ -64,14 +67,16 @@ def zorder(
     parts = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Positions are columns of their own, so each search runs once per row, not once per bit.
     shares = {f"__p{i}": p for i, p in enumerate(split_positions(df, columns, 2**bits))}
-    (
+    clustered = (
         df.withColumns(shares)
         .withColumn("__z", morton([F.col(p) for p in shares], bits))
         .repartitionByRange(parts, "__z", F.xxhash64(*df.columns))
         .sortWithinPartitions("__z")
         .drop("__z", *shares)
-        .write.parquet(dst)
     )
+    # The searches of all columns and the hash would be one method too long for the JVM to compile; as steps of their own they aren't.
+    with setting(spark, LONGEST_METHOD, COMPILED_BYTES):
+        clustered.write.parquet(dst)
     return spark.read.parquet(dst)
 
 

@@ -67,3 +67,18 @@ def test_all_cut_points_come_from_one_sample(spark):
     for place, parts in zip(split_positions(df, ["id", "s", "n"], 16), (16, 16, 1)):
         sizes = [r["count"] for r in df.groupBy(place.alias("p")).count().collect()]
         assert len(sizes) == parts and max(sizes) < 3 * 20000 / parts + 1
+
+
+def test_zorder_runs_in_methods_the_jvm_compiles(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    limit, limits = "spark.sql.codegen.hugeMethodLimit", []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(
+        DataFrameWriter, "parquet", lambda self, *a, **k: (limits.append(spark.conf.get(limit)), write(self, *a, **k))[1]
+    )
+    before = spark.conf.get(limit)
+    grid = spark.range(3000).select("id", (F.col("id") % 64).cast("string").alias("s"), F.hex("id").alias("h"))
+    out = layout.zorder(grid, scratch_path(spark, "m"), ["id", "s", "h"], files=4)
+    assert limits == ["8000"] and spark.conf.get(limit) == before
+    assert out.exceptAll(grid).count() == 0 and out.count() == 3000
