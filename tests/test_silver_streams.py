@@ -91,3 +91,22 @@ def test_second_load_and_change_batch_read_the_feed_once(spark, sf_dir):
     again = first.where(picked("orders", AGAIN)).withColumn("_ingested_at", ntz(SECOND_LOAD_TS))
     want = second.unionByName(again).unionByName(second.where(picked("orders", TWICE)))
     assert load.exceptAll(want).count() == 0 and want.exceptAll(load).count() == 0 and again.count() > 0
+
+
+def test_both_loads_come_from_one_pass_over_the_feed(spark, sf_dir, monkeypatch):
+    from shopgrain.catalog import silver_streams
+    from shopgrain.sources.conform import Retail
+
+    t, passes = Retail(spark, sf_dir), []
+    feed = silver_streams.broken_feed
+    monkeypatch.setattr(silver_streams, "broken_feed", lambda t, name: passes.append(feed(t, name)) or passes[-1])
+    written = []
+    numbered = silver_streams.loads
+    monkeypatch.setattr(silver_streams, "loads", lambda rows, name: written.append(numbered(rows, name)) or written[-1])
+    table = silver_streams.follow(t, "inventory")
+    assert len(passes) == len(written) == 1
+    raw = spark.read.parquet(f"{table.removesuffix('/table')}/raw/*")
+    rows = written[0].drop(silver_streams.LOAD)
+    assert raw.exceptAll(rows).count() == 0 and rows.exceptAll(raw).count() == 0
+    assert raw.count() > passes[0].count()  # what comes again or twice
+    assert spark.read.parquet(f"{table}/report").count() >= 2  # a micro-batch a load
