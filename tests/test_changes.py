@@ -157,3 +157,34 @@ def test_long_list_of_changes_leaves_the_target_in_place(spark, rows, monkeypatc
     numbers = target.select(F.col("id").cast("int").alias("k"))
     other_type = materialize(spark.range(10).withColumnRenamed("id", "k"), "listed")
     assert changes.unlisted_rows(numbers, other_type, ["k"]).count() == 2080
+
+
+def test_long_list_of_deleted_keys_moves_only_what_it_may_match(spark, rows, monkeypatch):
+    key = F.when(F.col("id") % 50 > 0, F.col("id").cast("string"))
+    seen = {"is_deleted": F.lit(False), "_updated_at": F.lit(0)}
+    target = materialize(spark.range(2000).union(spark.range(100)).select(key.alias("k"), "id").withColumns(seen), "target")
+    doomed = spark.range(0, 4000, 40).union(spark.range(0, 400, 40)).select(key.alias("k"))
+    want = rows(changes.soft_delete(target, doomed, ["k"], F.lit(9)))
+    assert sum(r[2] for r in want) == 42 and len(want) == 2100
+    monkeypatch.setattr(changes, "MIN_LISTED", 1)
+    monkeypatch.setattr(changes, "BITS_PER_KEY", 64)
+    deleted = changes.soft_delete(target, doomed, ["k"], F.lit(9))
+    assert rows(deleted) == want and deleted.schema == target.schema
+    text = deleted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in text and "__bitmap" in text
+
+
+def test_single_keys_stay_where_they_are(spark, rows):
+    """Null keys are one key; repeated and equal rows are reduced as the plain way does it."""
+    key = F.when(F.col("id") % 97 > 0, (F.col("id") % 1900).cast("string"))
+    df = materialize(spark.range(2000).select(key.alias("k"), (F.col("id") % 7).alias("v"), F.lit(1).alias("at")), "source")
+    df = df.union(df.where("v = 3"))
+    order = [F.desc("at")]
+    found = changes.latest_of_repeated(df, ["k"], order)
+    assert rows(found) == rows(changes.latest_per_key(df, ["k"], order))
+    assert "__bitmap" in found._jdf.queryExecution().optimizedPlan().toString()
+    unique = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("at"))
+    once = changes.latest_of_repeated(unique, ["k"], order)
+    assert once.count() == 100 and "Window" not in once._jdf.queryExecution().optimizedPlan().toString()
+    doubles = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "k double, at int")
+    assert rows(changes.latest_of_repeated(doubles, ["k"], order), "at") == [(2,)]
