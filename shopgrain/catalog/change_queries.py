@@ -177,6 +177,7 @@ def fact_orders_after_delete(t: Retail):
         t.dim_product,
         hot_customers=as_text(t.hot_customers),
         hot_products=as_text(t.hot_products),
+        customer_ids=t.customer_ids,
     )
 
 

@@ -216,6 +216,11 @@ class Retail:
             self.order_lines, self.dim_product, as_text(self.hot_products)
         )
 
+    @property
+    def customer_ids(self) -> DataFrame:
+        """Of all orders, with and without lines."""
+        return self.table("orders").select(F.col("o_custkey").cast("string").alias("customer_id"))
+
     @cached_property
     def fact_orders(self) -> DataFrame:
         return star.fact_orders(
@@ -224,4 +229,5 @@ class Retail:
             self.dim_product,
             hot_customers=as_text(self.hot_customers),
             hot_products=as_text(self.hot_products),
+            customer_ids=self.customer_ids,
         )

@@ -95,6 +95,41 @@ def test_fact_lookups_move_only_what_the_rest_follows_from(spark, sf_dir):
     assert not any(c in last[1] for c in ("AS discount_tier", "AS order_key", "AS is_returned", "AS order_year"))
 
 
+def test_large_customer_dimension_is_asked_for_the_ids_it_lacks(spark, rows, monkeypatch):
+    """No line is moved for the customer key, and no key on the way; the fact is as a join makes it."""
+    ids = ("1", "1", "2", "3", None, "x")
+    lines = [{"order_id": str(i), "customer_id": c, "product_id": "pq"[i % 2]} for i, c in enumerate(ids)]
+    orders = silver.silver_orders(order(spark, *lines), stamp())
+    people = spark.createDataFrame([("1",), ("2",), ("4",), (None,)], "customer_id string")
+    customers = people.withColumn("customer_key", star.surrogate_key("customer_id"))
+    goods = spark.createDataFrame([("p", 1.5)], "product_id string, cost_price double")
+    products = goods.withColumn("product_key", star.surrogate_key("product_id"))
+
+    def joins(fact):
+        return fact._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+    plain = star.fact_orders(orders, customers, products)
+    want = {(r.order_id, r.customer_key is not None, r.product_key is not None) for r in plain.collect()}
+    assert want == {(str(i), c in ("1", "2"), i % 2 == 0) for i, c in enumerate(ids)}
+    twice = customers.union(customers)
+    custom = customers.withColumn("customer_key", F.concat(F.lit("k"), "customer_id"))
+    wanted = [rows(star.fact_orders(orders, c, products)) for c in (customers, twice, custom)]
+    assert len(wanted[1]) == 9 and joins(plain) == 2
+    monkeypatch.setattr(star, "MIN_LOOKED_UP", 0)
+    for c, w in zip((customers, twice, custom), wanted, strict=True):
+        assert rows(star.fact_orders(orders, c, products)) == w
+    asked = star.fact_orders(orders, customers, products, customer_ids=orders.select("customer_id").union(people))
+    assert rows(asked) == wanted[0]
+    everyone = orders.select("customer_id").distinct()
+    all_known = everyone.withColumn("customer_key", star.surrogate_key("customer_id"))
+    fact = star.fact_orders(orders, all_known, products, rebalance_by="order_month_key")
+    assert joins(fact) == 1 and fact.where("customer_key IS NULL").count() == 1
+    moved = fact._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions", 1)[1]
+    assert "md5" not in moved
+    monkeypatch.setattr(star, "MOST_MISSING", 0)
+    assert rows(star.fact_orders(orders, customers, products)) == wanted[0]
+
+
 def test_sales_totals_agree_with_the_fact(spark, sf_dir):
     from shopgrain.sources.conform import Retail
 
