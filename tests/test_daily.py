@@ -1,11 +1,12 @@
 """The daily job, run from empty and then incrementally."""
 
+import os
 import time
 
 from pyspark.sql import functions as F
 
 from shopgrain.plans import daily
-from shopgrain.session import SHUFFLE_CLEANUP, materialize, scratch_path, shuffles_dropped
+from shopgrain.session import PARQUET_CODEC, SHUFFLE_CLEANUP, materialize, scratch_path, shuffles_dropped
 from shopgrain.sources.conform import FIRST_LOAD_TS, Retail, ntz
 
 FEEDS = ("orders", "customers", "products", "inventory")
@@ -30,6 +31,21 @@ def test_incremental_run_ends_where_a_full_run_does(spark, sf_dir):
     assert failures >= 0
 
 
+def test_refresh_keeps_its_tables_only(spark, sf_dir):
+    t = Retail(spark, sf_dir)
+    rows = {f: t.bronze(f) for f in FEEDS}
+    early = {f: df.where(F.col("_ingested_at") == ntz(FIRST_LOAD_TS)) for f, df in rows.items()}
+    first, second = (scratch_path(spark, n) for n in ("first", "second"))
+    scratch, codec = os.path.dirname(first), spark.conf.get(PARQUET_CODEC)
+    kept = set(os.listdir(scratch)) if os.path.exists(scratch) else set()
+    daily.refresh(spark, early, first, t.as_of, t.batch_ts)
+    daily.refresh(spark, rows, second, t.as_of, t.batch_ts, previous=first)
+    assert set(os.listdir(scratch)) - kept == {os.path.basename(first), os.path.basename(second)}
+    assert spark.conf.get(PARQUET_CODEC) == codec
+    files = [f for _, _, names in os.walk(second) for f in names if f.endswith(".parquet")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_written_tables_leave_no_shuffle_files(spark):
     # Blocks of shuffles that the driver still knows of; the listing of a removed one is empty.
     def blocks():
