@@ -1,12 +1,16 @@
 """Cleaned tables kept by a stream: bounded state, late rows, replays, metrics per micro-batch."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
 from shopgrain.operators.quality import FAILED_RULES, Rule
 from shopgrain.session import scratch_path
+from shopgrain.streaming.events import LARGE_STATE, ROCKSDB
 from shopgrain.streaming.expect import (
+    BOUNDED_STATE,
+    COUNTED_STATE,
     expect_stream,
     read_kept,
     read_quarantined,
@@ -75,6 +79,19 @@ def test_state_is_bounded_by_the_watermark(spark):
     assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in late.recentProgress if p["stateOperators"]) == 1
 
 
+def test_state_is_kept_beside_the_heap(spark):
+    feed, names = Feed(spark), (*LARGE_STATE, *BOUNDED_STATE, COUNTED_STATE)
+    before = [spark.conf.get(n, None) for n in names]
+    query = feed.run(("a", 1, day(0)), ("b", 1, day(0)))
+    started = json.loads(spark.read.text(f"{feed.base}/cp/offsets/0").collect()[1][0])["conf"]
+    assert started["spark.sql.streaming.stateStore.providerClass"] == ROCKSDB
+    custom = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+    assert custom and all(any(name.startswith("rocksdb") for name in c) for c in custom)
+    assert [spark.conf.get(n, None) for n in names] == before
+    feed.run(("a", 2, day(0)), ("c", 1, day(0)))
+    assert feed.kept() == [("a", 1), ("b", 1), ("c", 1)]
+
+
 def test_second_load_and_change_batch_read_the_feed_once(spark, sf_dir):
     from shopgrain.catalog.change_queries import cdc_batch
     from shopgrain.catalog.quality_checks import broken_feed, picked
